@@ -116,11 +116,20 @@ def zip5_from_addresses(addresses: str | Column, *, preferred: str = "isPrimary"
     return F.lpad(best["zip"], 5, "0")
 
 
-def job_type_category(name: str | Column) -> Column:
+def job_type_segment(name: str | Column) -> Column:
     text = F.lower(col(name))
     return (
-        F.when(text.like("%warranty%") | text.like("%touchup%"), "Warranty")
-        .when(text.like("%comm%"), "Commercial")
-        .when(text.like("%res%") | text.like("%estimate%"), "Residential")
-        .otherwise("Other")
+        F.when(text.like("%comm%"), "COMMERCIAL")
+        .when(text.like("%res%"), "RESIDENTIAL")
+        .otherwise("OTHER")
     )
+
+
+def job_type_warranty_category(name: str | Column) -> Column:
+    text = F.lower(col(name))
+    # Patterns of warranty-like job types.
+    patterns = ("%warranty%", "%touch%up%", "%callback%", "%repair%")
+    found = F.lit(False)
+    for pattern in patterns:
+        found = found | text.like(pattern)
+    return F.when(found, "Warranty").otherwise("Regular")

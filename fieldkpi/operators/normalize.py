@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldkpi.functions.parse import (
     bill_total,
@@ -35,9 +36,12 @@ def flatten_entity(
     """
     spec = ENTITIES[entity] if isinstance(entity, str) else entity
     defaults = dict(spec.defaults)
+    # One parse per record: the generator keeps the parsed struct from being split into
+    # one parse per field.  Leaves are read as text, so a bad value spoils only itself.
+    parsed = records.select(F.inline(F.array(F.from_json(record, _record_schema(spec)))))
 
     def value(path: str, kind: str) -> Column:
-        text = F.get_json_object(F.col(record), f"$.{path}")
+        text = F.col(path)
         if kind == "timestamp":
             return lenient_timestamp(text).cast("timestamp_ntz")
         if kind in ("string", "json"):
@@ -50,7 +54,7 @@ def flatten_entity(
         if f.column in defaults:
             c = F.coalesce(c, F.lit(defaults[f.column]))
         columns[f.column] = c
-    rows = records.select(*[c.alias(n) for n, c in columns.items()])
+    rows = parsed.select(*[c.alias(n) for n, c in columns.items()])
     if spec.hashed:
         natural = F.col(spec.natural) if spec.natural else None
         rows = rows.withColumn(spec.key, content_key(*spec.hashed, natural=natural))
@@ -64,6 +68,22 @@ def flatten_entity(
     )
 
 
+def _record_schema(spec: Entity) -> T.StructType:
+    """The landed record's fields that the entity reads, nested as they are landed."""
+    tree: dict[str, set[str]] = {}
+    for f in spec.fields:
+        head, _, leaf = f.path.partition(".")
+        tree.setdefault(head, set()).update([leaf] if leaf else [])
+    text = T.StringType()
+
+    def kind(leaves: set[str]) -> T.DataType:
+        if not leaves:
+            return text
+        return T.StructType([T.StructField(leaf, text) for leaf in sorted(leaves)])
+
+    return T.StructType([T.StructField(head, kind(leaves)) for head, leaves in tree.items()])
+
+
 def _at(row: str, position: int) -> Column:
     """Field of a positional report row; null beyond its end."""
     return F.get(F.col(row), position)

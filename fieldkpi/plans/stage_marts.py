@@ -759,12 +759,16 @@ def _(d: Domain) -> DataFrame:
     return _as_double(out, "amount", "labor_cost", "material_cost_net")
 
 
+FACT = _V2 | {"dates": _FALLBACK}
+FINAL = _V4
+
+
 @query(
     "jct_15_job_cost_fact",
     """SELECT job_id, business_unit, CAST(revenue_subtotal AS DOUBLE) AS revenue,
               CAST(total_cost AS DOUBLE) AS total_job_cost,
               CAST(gross_profit AS DOUBLE) AS gross_profit FROM costed""",
-    **_V2 | {"dates": _FALLBACK},
+    **FACT,
 )
 def _(d: Domain) -> DataFrame:
     return job_cost_fact(d).select(
