@@ -45,3 +45,11 @@ LOOKBACK_HOURS = {"jobs": 168, "estimates": 4320}
 FIRST_SYNC_DAYS = 7
 
 RECEIVABLE_FLOOR = 10
+
+# Labels of graded rows.
+RED, YELLOW, GREEN = "🔴 RED", "🟡 YELLOW", "🟢 GREEN"
+NO_DATA, LOW, OK = "🔴 NO DATA", "🟡 LOW", "🟢 OK"
+CRITICAL, WARNING, EXCELLENT = "🔴 CRITICAL", "🟡 WARNING", "🟢 EXCELLENT"
+EXACT, MINOR, MAJOR = "✅ EXACT", "⚠️ MINOR", "🔴 MAJOR"
+FLAG_RED, FLAG_YELLOW, FLAG_GREEN = "🔴", "🟡", "🟢"
+TICK, CAUTION, CROSS = "✅", "⚠️", "❌"
