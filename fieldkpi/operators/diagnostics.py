@@ -156,34 +156,37 @@ def booked_by_basis(
     commercial = F.coalesce(F.upper("job_type_name").like("%COMM%"), F.lit(False))
     estimate = F.coalesce(contains_ci("job_type_name", "estimate"), F.lit(False))
 
-    def variants(rows: DataFrame, basis: str, day: str, amount: str, filters: dict[str, Column]) -> DataFrame:
+    def variants(
+        rows: DataFrame, basis: str, day: str, amount: str, filters: dict[str, Column], documents: Column
+    ) -> DataFrame:
         tagged = rows.select(
-            F.to_date(day).alias("event_date"), "business_unit", "job_id", money(amount).alias("amount"), "doc",
+            F.to_date(day).alias("event_date"), "business_unit", "job_id", F.col(amount).alias("amount"), "doc",
             F.explode(F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in filters.items()]))).alias("filter_desc"),
         )
         return (
             tagged.join(wanted.select("event_date", "business_unit"), ["event_date", "business_unit"], "left_semi")
             .groupBy("event_date", "business_unit", F.lit(basis).alias("basis"), "filter_desc")
             .agg(
-                F.sum("amount").alias("amount"),
-                F.countDistinct("doc").alias("num_documents"),
+                F.sum("amount").cast("decimal(38,4)").alias("amount"),
+                documents.cast("bigint").alias("num_documents"),
                 F.countDistinct("job_id").alias("num_jobs"),
             )
         )
 
     invoiced = invoices.withColumn("doc", F.col("id")).join(jobs, "job_id")
     sold = estimates.where(F.col("status") == "Sold").withColumn("doc", F.col("id")).join(jobs, "job_id")
-    finished = jobs.where(F.col("job_status") == "Completed").join(
-        invoices.select("job_id", "total", F.col("id").alias("doc")), "job_id", "left"
+    per_job = invoices.where(F.col("job_id").isNotNull()).groupBy("job_id").agg(
+        sum_money("total").alias("total"), F.countDistinct("id").alias("documents")
     )
+    finished = jobs.where(F.col("job_status") == "Completed").join(per_job, "job_id", "left")
     found = _union(
         [
             variants(invoiced, "invoice_date", "invoice_date", "total",
-                     {"all_jobs": F.lit(True), "exclude_comm": ~commercial}),
+                     {"all_jobs": F.lit(True), "exclude_comm": ~commercial}, F.countDistinct("doc")),
             variants(sold, "estimate_created", "created_on", "subtotal",
-                     {"all_sold": F.lit(True), "sold_no_comm": ~commercial, "sold_estimate_jobs": estimate}),
-            variants(finished, "job_completed", "completed_on", "total",
-                     {"all_jobs": F.lit(True), "estimate_jobs": estimate}),
+                     {"all_sold": F.lit(True), "sold_no_comm": ~commercial, "sold_estimate_jobs": estimate}, F.countDistinct("doc")),
+            variants(finished.withColumnRenamed("documents", "doc"), "job_completed", "completed_on", "total",
+                     {"all_jobs": F.lit(True), "estimate_jobs": estimate}, F.coalesce(F.sum("doc"), F.lit(0))),
         ]
     )
     booked = F.round(F.coalesce("amount", F.lit(0)), 2).cast("double")

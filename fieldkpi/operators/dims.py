@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkpi.functions.constants import UNKNOWN_UNIT
+from fieldkpi.functions.joins import spread_join
 from fieldkpi.sources.literals import literal_relation
 
 
@@ -124,7 +125,7 @@ def selected_jobs(
 ) -> DataFrame:
     """Detail of the listed jobs: ZIP, customer and job type."""
     return (
-        jobs.join(job_ids.select(F.col("job_id").alias("id")), "id", "left_semi")
+        jobs.join(job_ids.select(F.col("job_id").alias("id")).distinct(), "id", "left_semi")
         .join(location_zips.select("location_id", "zip5"), "location_id", "left")
         .join(
             customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name")),
@@ -174,8 +175,7 @@ def estimates_with_opportunity(estimates: DataFrame, opportunities: DataFrame) -
         "earliest_sold_on",
     )
     return (
-        estimates.where(F.col("id").isNotNull())
-        .join(opp, "job_id")
+        spread_join(estimates.where(F.col("id").isNotNull() & F.col("job_id").isNotNull()), opp, "job_id")
         .select(
             F.col("id").alias("estimate_id"),
             "job_id",

@@ -139,7 +139,11 @@ def repair_stats(
             F.coalesce(sum_money("amount"), F.lit(0)).alias(f"labor_{tag}"),
         )
 
-    both = totals(before, "before").crossJoin(totals(after, "after"))
+    both = (
+        totals(before, "before")
+        .unionByName(totals(after, "after"), allowMissingColumns=True)
+        .agg(*[F.max(f"{m}_{t}").alias(f"{m}_{t}") for m in ("records", "jobs", "labor") for t in ("before", "after")])
+    )
     return both.select(
         *[F.col(f"{m}_{t}").cast("double" if m == "labor" else "bigint").alias(f"{m}_{t}")
           for m in ("records", "jobs", "labor") for t in ("before", "after")],

@@ -31,6 +31,7 @@ from fieldkpi.functions.expr import (
     sum_money,
     utc_midnight,
 )
+from fieldkpi.functions.joins import spread_join
 from fieldkpi.operators import marts
 from fieldkpi.sources import tables
 
@@ -167,11 +168,18 @@ def booked(
     )
 
 
-def _production_invoices(
-    invoices: DataFrame, dim_jobs: DataFrame, since: str, suffix: str
+def _costed_invoices(
+    invoices: DataFrame, dim_jobs: DataFrame, cost_fact: DataFrame, since: str, suffix: str
 ) -> DataFrame:
-    jobs = _named_jobs(unit_jobs(dim_jobs, suffix), "job_type_name")
-    return invoices.where(F.col("invoice_date") >= utc_midnight(since)).join(jobs, "job_id")
+    """Invoices with their job's unit, type and cost; jobs meet their cost first, one row
+    to one."""
+    jobs = _named_jobs(unit_jobs(dim_jobs, suffix), "job_type_name").join(
+        cost_fact.select("job_id", "total_cost"), "job_id", "left"
+    )
+    dated = invoices.where(
+        (F.col("invoice_date") >= utc_midnight(since)) & F.col("job_id").isNotNull()
+    )
+    return spread_join(dated, jobs, "job_id")
 
 
 def invoice_margin(
@@ -189,9 +197,7 @@ def invoice_margin(
     A job's cost counts with each of its invoices.  The margin is null unless revenue
     is positive; warranty and its base include the excluded types.
     """
-    rows = _production_invoices(invoices, dim_jobs, since, suffix).join(
-        cost_fact.select("job_id", "total_cost"), "job_id", "left"
-    )
+    rows = _costed_invoices(invoices, dim_jobs, cost_fact, since, suffix)
     included = ~F.coalesce(F.col("job_type_name").isin(*excluded_types), F.lit(False))
     warranty = F.col("job_type_name").isin(*warranty_types)
     cost = or_zero("total_cost")

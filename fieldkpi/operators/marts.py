@@ -29,6 +29,7 @@ from fieldkpi.functions.expr import (
     sum_money,
     utc_midnight,
 )
+from fieldkpi.functions.joins import hot_keys, spread_join
 
 
 def _daily(df: DataFrame, day: str, *aggs: Column, unit: str | None = "business_unit") -> DataFrame:
@@ -287,13 +288,13 @@ def future_bookings_daily(
     start; the total is computed once per job.
     """
     after = utc_midnight(_next_day(as_of))
-    starts = (
-        appointments.where(
-            (F.col("scheduled_start") >= after)
-            & ~F.col("status").isin(*CANCELED_APPOINTMENT_STATUSES)
-        )
-        .groupBy("job_id", "scheduled_start")
-        .agg(F.count("*").alias("appointments"))
+    open_appointments = appointments.where(
+        (F.col("scheduled_start") >= after)
+        & F.col("job_id").isNotNull()
+        & ~F.col("status").isin(*CANCELED_APPOINTMENT_STATUSES)
+    )
+    starts = open_appointments.groupBy("job_id", "scheduled_start").agg(
+        F.count("*").alias("appointments")
     )
     production = units.where(ends_with("name", unit_suffix)).select(
         F.col("id").alias("business_unit_id"), F.col("name").alias("business_unit")
@@ -306,9 +307,15 @@ def future_bookings_daily(
         .groupBy("job_id")
         .agg(sum_money("total").alias("invoice_total"))
     )
+    valued = owner.join(value, "job_id", "left")
     booked = (
-        starts.join(owner, "job_id")
-        .join(value, "job_id", "left")
+        spread_join(
+            starts,
+            valued,
+            "job_id",
+            salt_by=["scheduled_start"],
+            hot=hot_keys(open_appointments, "job_id"),
+        )
         .withColumn(
             "booking_value",
             F.coalesce(F.col("invoice_total") * F.col("appointments").cast("decimal(10,0)"), F.lit(0))
@@ -434,10 +441,11 @@ def estimates_scheduled(
     estimates: DataFrame, appointments: DataFrame, dim_jobs: DataFrame
 ) -> DataFrame:
     """Estimates whose job has an appointment, per unit; no appointment repeats a value."""
-    unit = dim_jobs.select(F.col("id").alias("job_id"), "business_unit")
+    scheduled = dim_jobs.select(F.col("id").alias("job_id"), "business_unit").join(
+        appointments.select("job_id").distinct(), "job_id", "left_semi"
+    )
     return (
-        estimates.join(appointments.select("job_id"), "job_id", "left_semi")
-        .join(unit, "job_id")
+        spread_join(estimates.where(F.col("job_id").isNotNull()), scheduled, "job_id")
         .groupBy("business_unit")
         .agg(
             F.countDistinct("id").alias("estimates_scheduled"),

@@ -21,24 +21,33 @@ JOB_TYPES = (
     (6, "PM Inspection"),
 )
 
-PRICE = "CAST(l_extendedprice AS DECIMAL(14,2))"
-DISCOUNT = "CAST(l_discount AS DECIMAL(4,2))"
-TAX = "CAST(l_tax AS DECIMAL(4,2))"
-QTY = "CAST(l_quantity AS DECIMAL(8,2))"
+# Amounts of the given tables have two decimals.  They are taken as whole cents, so
+# that products stay exact and are computed as longs.
+PRICE = "CAST(floor(l_extendedprice * 100 + 0.5D) AS BIGINT)"
+DISCOUNT = "CAST(floor(l_discount * 100 + 0.5D) AS BIGINT)"
+TAX = "CAST(floor(l_tax * 100 + 0.5D) AS BIGINT)"
+QTY = "CAST(l_quantity AS BIGINT)"
 LINE_ID = "l_orderkey * 10 + l_linenumber"
+EVENT_VALUE = "CAST(floor(value * 100 + 0.5D) AS BIGINT) * 100"
 
 
-def _money(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(18,4))"
+def _money(ten_thousandths: str) -> str:
+    """decimal(18,4) from a whole number of ten-thousandths."""
+    return f"(CAST({ten_thousandths} AS DECIMAL(13,0)) * 0.0001BD)"
 
 
 class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._jobs: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A given table; its footer is read once per query."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # --- dimensions -------------------------------------------------------
 
@@ -81,7 +90,7 @@ class Domain:
             " WHEN c_acctbal < 0 AND c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS name",
             "CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'Commercial'"
             " ELSE 'Residential' END AS type",
-            f"{_money('CAST(c_acctbal AS DECIMAL(14,2))')} AS balance",
+            f"{_money('CAST(floor(c_acctbal * 100 + 0.5D) AS BIGINT) * 100')} AS balance",
         )
 
     def locations(self) -> DataFrame:
@@ -123,10 +132,12 @@ class Domain:
         )
 
     def dim_jobs(self) -> DataFrame:
-        return dims.dim_jobs(self.jobs(), self.units(), self.job_types())
+        if self._jobs is None:
+            self._jobs = dims.dim_jobs(self.jobs(), self.units(), self.job_types())
+        return self._jobs
 
     def estimates(self) -> DataFrame:
-        subtotal = _money(f"{PRICE} * (1 - {DISCOUNT})")
+        subtotal = _money(f"{PRICE} * (100 - {DISCOUNT})")
         return self.table("lineitem").selectExpr(
             f"{LINE_ID} AS id",
             "CASE WHEN l_returnflag = 'A' AND l_linenumber = 7 THEN NULL ELSE l_orderkey END"
@@ -139,15 +150,16 @@ class Domain:
             "l_suppkey AS sold_by_id",
             f"{subtotal} AS subtotal",
             f"CASE WHEN l_tax > 0 THEN {_money(f'{PRICE} * {TAX}')} END AS total_tax",
-            f"CASE WHEN l_tax > 0 THEN {subtotal} + {_money(f'{PRICE} * {TAX}')} END AS total",
+            f"CASE WHEN l_tax > 0 THEN {_money(f'{PRICE} * (100 - {DISCOUNT} + {TAX})')} END AS total",
         )
 
     def invoices(self) -> DataFrame:
         """Two invoices per job: a deposit (k = 0) and a final one (k = 1)."""
-        value = "CAST(o_totalprice AS DECIMAL(14,2))"
-        share = "CASE WHEN k = 0 THEN 0.3BD ELSE 0.7BD END"
-        subtotal = _money(f"{value} * {share}")
-        tax = _money(f"{value} * {share} * 0.1BD")
+        cents = "CAST(floor(o_totalprice * 100 + 0.5D) AS BIGINT)"
+        share = "CASE WHEN k = 0 THEN 3 ELSE 7 END"
+        subtotal = _money(f"{cents} * {share} * 10")
+        tax = _money(f"{cents} * {share}")
+        total = _money(f"{cents} * {share} * 11")
 
         def item(kind: str, cost: str, price: str) -> str:
             return (
@@ -155,19 +167,19 @@ class Domain:
                 f" '\",\"total\":\"', {price}, '\"}}')"
             )
 
-        def text(factor: str) -> str:
-            return f"CAST({_money(f'{value} * {factor}')} AS STRING)"
+        def text(percent: int) -> str:
+            return f"CAST({_money(f'{cents} * {percent}')} AS STRING)"
 
         items = (
             "CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN '[]' ELSE"
             " concat('[', CASE WHEN k = 0 THEN concat("
-            + item("Material", f"CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'n/a' ELSE {text('0.11BD')} END", text("0.2BD"))
+            + item("Material", f"CASE WHEN o_orderpriority = '3-MEDIUM' THEN 'n/a' ELSE {text(11)} END", text(20))
             + ", ',', "
-            + item("Service", text("0.01BD"), text("0.1BD"))
+            + item("Service", text(1), text(10))
             + ") ELSE concat("
-            + item("Equipment", text("0.05BD"), text("0.15BD"))
+            + item("Equipment", text(5), text(15))
             + ", ',', "
-            + item("Permit", text("0.02BD"), text("0.02BD"))
+            + item("Permit", text(2), text(2))
             + ") END, ']') END"
         )
         return (
@@ -186,15 +198,15 @@ class Domain:
                 "o_orderdate + make_dt_interval(20 * k) AS modified_on",
                 f"{subtotal} AS subtotal",
                 f"{tax} AS sales_tax",
-                f"{_money(f'{subtotal} + {tax}')} AS total",
+                f"{total} AS total",
                 f"CASE o_orderstatus WHEN 'F' THEN {_money('0')} WHEN 'O' THEN {subtotal}"
-                f" ELSE {_money(f'{subtotal} + {tax}')} END AS balance",
+                f" ELSE {total} END AS balance",
                 f"{items} AS items",
             )
         )
 
     def payments(self) -> DataFrame:
-        value = "CAST(CAST(value AS DECIMAL(14,2)) AS DECIMAL(18,4))"
+        value = _money(EVENT_VALUE)
         return self.table("events").selectExpr(
             "event_id AS id",
             "CASE WHEN event_type = 'error' THEN NULL ELSE event_id * 2 + 1 END AS invoice_id",
@@ -216,8 +228,8 @@ class Domain:
                 "l_shipdate AS date",
                 "CASE WHEN l_linenumber <= 3 THEN 'Paint' WHEN l_linenumber <= 6 THEN 'Prep' END"
                 " AS activity",
-                f"{_money(f'{QTY} * 25.5BD')} AS amount",
-                f"{_money(QTY)} AS paid_duration_hours",
+                f"{_money(f'{QTY} * 255000')} AS amount",
+                f"{_money(f'{QTY} * 10000')} AS paid_duration_hours",
                 f"{LINE_ID} AS source_entity_id",
                 "concat('Unit ', CAST(l_suppkey % 25 AS STRING)) AS business_unit_name",
                 "l_shipdate + INTERVAL 2 DAYS AS modified_on",
@@ -229,12 +241,12 @@ class Domain:
             f"{LINE_ID} AS id",
             "l_orderkey * 2 + 1 AS invoice_id",
             "l_suppkey AS employee_id",
-            f"{_money(f'-{QTY} * 1.5BD')} AS amount",
+            f"{_money(f'-{QTY} * 15000')} AS amount",
             "l_shipdate AS posted_on",
         )
 
     def purchase_orders(self) -> DataFrame:
-        subtotal = _money(f"{PRICE} * 0.1BD")
+        subtotal = _money(f"{PRICE} * 10")
         return self.table("lineitem").selectExpr(
             f"{LINE_ID} AS id",
             "l_orderkey AS job_id",
@@ -243,13 +255,13 @@ class Domain:
             " WHEN l_returnflag = 'A' THEN 'Received' ELSE 'Pending' END AS status",
             "l_shipdate AS date",
             f"{subtotal} AS subtotal",
-            f"{_money(f'{QTY} * 0.25BD')} AS tax",
-            f"{_money(f'{QTY} * 0.5BD')} AS shipping",
-            f"{_money(f'{QTY} * 0.1BD')} AS discount",
-            f"{_money(f'{subtotal} + {QTY} * 0.65BD')} AS total",
+            f"{_money(f'{QTY} * 2500')} AS tax",
+            f"{_money(f'{QTY} * 5000')} AS shipping",
+            f"{_money(f'{QTY} * 1000')} AS discount",
+            f"{_money(f'{PRICE} * 10 + {QTY} * 6500')} AS total",
             "concat('[{\"total\":\"',"
-            f" CAST({_money(f'{PRICE} * 0.06BD')} AS STRING), '\"}},{{\"total\":\"',"
-            f" CAST({_money(f'{PRICE} * 0.04BD')} AS STRING), '\"}}]') AS items",
+            f" CAST({_money(f'{PRICE} * 6')} AS STRING), '\"}},{{\"total\":\"',"
+            f" CAST({_money(f'{PRICE} * 4')} AS STRING), '\"}}]') AS items",
             "l_shipdate AS modified_on",
         )
 
@@ -259,9 +271,9 @@ class Domain:
             "l_orderkey AS job_id",
             "l_suppkey AS vendor_id",
             "l_shipdate + INTERVAL 20 DAYS AS return_date",
-            f"{_money(f'{QTY} * 2.25BD')} AS subtotal",
-            f"{_money(f'{QTY} * 0.25BD')} AS tax",
-            f"{_money(f'{QTY} * 2.5BD')} AS total",
+            f"{_money(f'{QTY} * 22500')} AS subtotal",
+            f"{_money(f'{QTY} * 2500')} AS tax",
+            f"{_money(f'{QTY} * 25000')} AS total",
         )
 
     def appointments(self) -> DataFrame:
@@ -282,9 +294,9 @@ class Domain:
             "l_suppkey AS vendor_id",
             "l_orderkey AS job_id",
             "l_shipdate AS bill_date",
-            f"{_money(f'{PRICE} * 0.1BD')} AS bill_amount",
+            f"{_money(f'{PRICE} * 10')} AS bill_amount",
             f"CASE WHEN l_tax > 0 THEN {_money(f'{PRICE} * {TAX}')} END AS tax_amount",
-            f"CASE WHEN l_returnflag = 'N' THEN {_money(f'{QTY} * 0.5BD')} END AS shipping_amount",
+            f"CASE WHEN l_returnflag = 'N' THEN {_money(f'{QTY} * 5000')} END AS shipping_amount",
         )
 
     # --- run log and report tables ----------------------------------------
@@ -297,7 +309,7 @@ class Domain:
             "CASE WHEN CAST(get_json_object(props, '$.k') AS INT) < 10 THEN 'failed'"
             " ELSE 'success' END AS status",
             "CAST(get_json_object(props, '$.k') AS BIGINT) AS records_fetched",
-            "CAST(CAST(value AS DECIMAL(14,2)) * 1000 AS BIGINT) AS duration_ms",
+            "CAST(floor(value * 100 + 0.5D) AS BIGINT) * 10 AS duration_ms",
             "CASE WHEN CAST(get_json_object(props, '$.k') AS INT) < 10"
             " THEN concat('code ', get_json_object(props, '$.k')) END AS error_message",
         )
@@ -314,7 +326,7 @@ class Domain:
 
     def collections(self) -> DataFrame:
         """Rows of the payments report; unit names come as text."""
-        value = "CAST(CAST(value AS DECIMAL(14,2)) AS DECIMAL(18,4))"
+        value = _money(EVENT_VALUE)
         return self.table("events").selectExpr(
             "CASE WHEN event_type = 'error' THEN NULL ELSE concat('Unit ',"
             " CAST(user_id % 25 AS STRING)) END AS business_unit",
@@ -344,8 +356,8 @@ class Domain:
             "concat('Unit ', CAST(l_orderkey % 25 AS STRING)) AS bu_key",
             "CAST(l_orderkey AS STRING) AS job_id",
             "l_shipdate AS job_start",
-            f"{_money(PRICE)} AS job_subtotal",
-            f"{_money(f'{PRICE} * (0.5BD + {DISCOUNT})')} AS job_total_costs",
+            f"{_money(f'{PRICE} * 100')} AS job_subtotal",
+            f"{_money(f'{PRICE} * (50 + {DISCOUNT})')} AS job_total_costs",
             "l_shipdate + make_dt_interval(l_linenumber) AS updated_on",
         )
 
@@ -354,7 +366,7 @@ class Domain:
             "concat('Unit ', CAST(l_orderkey % 25 AS STRING)) AS bu_key",
             "CAST(l_orderkey AS STRING) AS job_id",
             "l_shipdate AS scheduled_date",
-            f"{_money(PRICE)} AS job_subtotal",
+            f"{_money(f'{PRICE} * 100')} AS job_subtotal",
             "l_shipdate - make_dt_interval(l_linenumber) AS as_of_date",
         )
 
@@ -365,7 +377,7 @@ class Domain:
             "concat('Seller ', CAST(l_suppkey AS STRING)) AS estimator",
             "CAST(l_quantity AS BIGINT) AS sales_opportunities",
             "CAST(l_linenumber AS BIGINT) AS closed_opportunities",
-            f"{_money(PRICE)} AS total_sales",
+            f"{_money(f'{PRICE} * 100')} AS total_sales",
             f"{_money(f'{PRICE} * {DISCOUNT}')} AS avg_closed_sale",
         )
 
@@ -374,7 +386,7 @@ class Domain:
             "concat('Unit ', CAST(user_id % 25 AS STRING)) AS bu_key",
             "ts AS as_of",
             "event_type AS location_name",
-            "CAST(CAST(value AS DECIMAL(14,2)) AS DECIMAL(18,4)) AS net_amount",
+            f"{_money(EVENT_VALUE)} AS net_amount",
             "ts AS updated_on",
             "props AS raw",
         )

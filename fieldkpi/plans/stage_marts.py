@@ -412,7 +412,7 @@ def _(d: Domain) -> DataFrame:
        WHERE j.id IN (SELECT job_id FROM rets) GROUP BY 1""",
 )
 def _(d: Domain) -> DataFrame:
-    listed = d.returns().select(F.col("job_id").alias("id"))
+    listed = d.returns().select(F.col("job_id").alias("id")).distinct()
     return marts.jobs_by_zip(d.jobs().join(listed, "id", "left_semi"), location_zips(d))
 
 

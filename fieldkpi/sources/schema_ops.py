@@ -80,13 +80,12 @@ def _registered(records: DataFrame, registry: Registry) -> DataFrame:
 def validate(records: DataFrame, registry: Registry, *, record: str = "record") -> DataFrame:
     """Required fields absent or null in some row are errors; unknown fields and other
     types are warnings."""
-    total = records.agg(F.count("*").alias("n_rows"))
+    total = records.agg(F.count("*").alias("n_rows")).scalar()
     found = profile(records, record=record)
     joined = (
         _registered(records, registry)
         .join(found, "field", "full")
-        .crossJoin(total)
-        .withColumn("n_missing", F.col("n_rows") - F.coalesce("n_present", F.lit(0)) + F.coalesce("n_null", F.lit(0)))
+        .withColumn("n_missing", total - F.coalesce("n_present", F.lit(0)) + F.coalesce("n_null", F.lit(0)))
     )
     issue = (
         F.when(F.col("expected_type").isNull(), "unknown_field")

@@ -98,17 +98,27 @@ def current(spark: SparkSession, table: str) -> DataFrame:
 
 
 def upsert(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    *,
+    keep_newer: bool = False,
 ) -> DataFrame:
     """Target rows whose key the batch has are replaced, other batch rows are added.
 
-    Of several batch rows with one key the first by ``order`` counts.  A null key
-    matches nothing, so such rows are kept as they are.
+    Of several batch rows with one key the first by ``order`` counts; with
+    ``keep_newer`` the target's row competes with them, so that a late, older row
+    changes nothing.  A null key matches nothing, so such rows are kept as they are.
     """
     has_key = None
     for k in keys:
         has_key = F.col(k).isNotNull() if has_key is None else has_key & F.col(k).isNotNull()
-    newest = dedupe_latest(batch.where(has_key), keys, order)
+    candidates = batch.where(has_key)
+    if keep_newer:
+        rivals = target.join(candidates.select(*keys).distinct(), list(keys), "left_semi")
+        candidates = candidates.unionByName(rivals, allowMissingColumns=True)
+    newest = dedupe_latest(candidates, keys, order)
     return (
         target.join(newest.select(*keys), list(keys), "left_anti")
         .unionByName(newest, allowMissingColumns=True)
@@ -123,6 +133,8 @@ def upsert_days(
     keys: Sequence[str],
     order: Sequence[Column],
     column: str,
+    *,
+    keep_newer: bool = False,
 ) -> None:
     """Upsert into a day-partitioned table whose day never changes for a key.
 
@@ -131,7 +143,8 @@ def upsert_days(
     """
     days = with_day(batch, column)
     touched = spark.read.parquet(path).join(days.select(DAY).distinct(), DAY, "left_semi")
-    write_by_day(upsert(touched, days, keys, order), path, column, mode="overwrite")
+    merged = upsert(touched, days, keys, order, keep_newer=keep_newer)
+    write_by_day(merged, path, column, mode="overwrite")
 
 
 def replace_range(

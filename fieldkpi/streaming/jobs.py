@@ -27,12 +27,17 @@ def stream_upsert(
     modified: str,
     lookback: str,
     checkpoint: str,
+    day_column: str | None = None,
 ) -> None:
     """Keep a table at the newest version of each key, from a stream of versions.
 
     A version is deduped by key and change time, so a later change of a key is not
     lost; the state of that dedupe ends with the watermark.  Each batch is upserted,
     and a row older than the table's is ignored, so replaying a batch changes nothing.
+
+    With ``day_column``, a time that never changes for a key, the table is partitioned
+    by its day and a batch rewrites only the days it touches: the way for large tables.
+    Without it each batch publishes a new version of the whole table.
     """
     spark = stream.sparkSession
     versions = (
@@ -47,14 +52,17 @@ def stream_upsert(
             return
         batch = batch.persist()
         newest = [F.col(modified).desc_nulls_last()]
-        if not _published(spark, table):
-            tables.publish(dedupe_latest(batch, keys, newest), table)
-        else:
+        if day_column is not None:
+            if _exists(spark, table):
+                tables.upsert_days(spark, table, batch, keys, newest, day_column, keep_newer=True)
+            else:
+                tables.write_by_day(dedupe_latest(batch, keys, newest), table, day_column)
+        elif _exists(spark, f"{table}/versions"):
             old = tables.current(spark, table)
-            # The target's own rows for the batch's keys compete on the change time.
-            rivals = old.join(batch.select(*keys).distinct(), list(keys), "left_semi")
-            merged = tables.upsert(old, batch.unionByName(rivals), keys, newest)
+            merged = tables.upsert(old, batch, keys, newest, keep_newer=True)
             tables.publish(merged, table, mode="upsert")
+        else:
+            tables.publish(dedupe_latest(batch, keys, newest), table)
         batch.unpersist()
 
     query = (
@@ -66,8 +74,8 @@ def stream_upsert(
     query.awaitTermination()
 
 
-def _published(spark: SparkSession, table: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/versions")
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
