@@ -28,25 +28,10 @@ from fieldkpi.functions.expr import (
     rounded,
     sum_money,
 )
+from fieldkpi.functions.frames import labelled_rows, union_all
 from fieldkpi.operators.costing import invoice_items
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _rows(totals: DataFrame, label: str, entries: Sequence[tuple[str, dict[str, Column]]]) -> DataFrame:
-    """One-row totals turned into one row per entry."""
-    structs = [
-        F.struct(F.lit(name).alias(label), *[c.alias(k) for k, c in columns.items()])
-        for name, columns in entries
-    ]
-    return totals.select(F.inline(F.array(*structs)))
-
-
 # --- populations ------------------------------------------------------------------------
 
 
@@ -113,7 +98,7 @@ def population_by_date_basis(
         *[count_if(test).alias(f"n{i}") for i, test in enumerate(variants.values())],
         *[F.countDistinct(F.when(test, F.col("business_unit_id"))).alias(f"u{i}") for i, test in enumerate(variants.values())],
     )
-    out = _rows(
+    out = labelled_rows(
         totals,
         "variant",
         [(v, {"job_count": F.col(f"n{i}"), "bu_count": F.col(f"u{i}")}) for i, v in enumerate(variants)],
@@ -135,7 +120,7 @@ def lead_funnel(
         *[count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(steps)],
         *[F.countDistinct(F.when(test, F.col("customer_id"))).alias(f"c{i}") for i, (_, test) in enumerate(steps)],
     )
-    return _rows(
+    return labelled_rows(
         totals,
         "step",
         [(s, {"jobs": F.col(f"n{i}"), "unique_customers": F.col(f"c{i}")}) for i, (s, _) in enumerate(steps)],
@@ -179,7 +164,7 @@ def booked_by_basis(
         sum_money("total").alias("total"), F.countDistinct("id").alias("documents")
     )
     finished = jobs.where(F.col("job_status") == "Completed").join(per_job, "job_id", "left")
-    found = _union(
+    found = union_all(
         [
             variants(invoiced, "invoice_date", "invoice_date", "total",
                      {"all_jobs": F.lit(True), "exclude_comm": ~commercial}, F.countDistinct("doc")),
@@ -216,7 +201,7 @@ def material_components(
     po = _open_orders(orders, job_list).agg(
         F.count("*").alias("n"), *[sum_money(c).alias(c) for c in ("subtotal", "tax", "shipping", "discount", "total")]
     )
-    po_rows = _rows(po, "component", [
+    po_rows = labelled_rows(po, "component", [
         ("PO Subtotal", {"amount": F.col("subtotal"), "count": n}),
         ("PO Tax", {"amount": F.col("tax"), "count": n}),
         ("PO Shipping", {"amount": F.col("shipping"), "count": n}),
@@ -243,7 +228,7 @@ def material_components(
     back = _listed(returns, job_list).agg(
         F.count("*").alias("n"), *[sum_money(c).alias(c) for c in ("subtotal", "tax", "total")]
     )
-    back_rows = _rows(back, "component", [
+    back_rows = labelled_rows(back, "component", [
         ("Returns Subtotal (credit)", {"amount": -F.col("subtotal"), "count": n}),
         ("Returns Tax (credit)", {"amount": -F.col("tax"), "count": n}),
         ("Returns Total (credit)", {"amount": -F.col("total"), "count": n}),
@@ -251,7 +236,7 @@ def material_components(
     parts = [p.withColumn("amount", F.col("amount").cast("decimal(38,4)")) for p in (po_rows, kinds, price, back_rows)]
     name = F.col("component")
     return (
-        _union(parts)
+        union_all(parts)
         .where(F.coalesce("amount", F.lit(0)) != 0)
         .select(
             "component",
@@ -287,7 +272,7 @@ def order_header_vs_items(job_list: DataFrame, orders: DataFrame) -> DataFrame:
         F.sum(header).alias("h"), F.sum(items).alias("i"), F.sum(header - items).alias("d"),
         count_if((header > 0) | (items > 0)).alias("n"),
     )
-    return _rows(totals, "metric", [
+    return labelled_rows(totals, "metric", [
         ("Total PO Header", {"amount": F.round("h", 2).cast("double")}),
         ("Total PO Items", {"amount": F.round("i", 2).cast("double")}),
         ("Difference (Tax/Shipping/Discount)", {"amount": F.round("d", 2).cast("double")}),
@@ -317,7 +302,7 @@ def material_scenarios(
         }
 
     invoice = F.col("invoice")
-    return _rows(totals, "scenario", [
+    return labelled_rows(totals, "scenario", [
         ("PO header + invoice materials", entry(F.col("header_total") + invoice)),
         ("PO items + invoice materials", entry(F.col("items_total") + invoice)),
         ("PO items + tax/shipping + invoice materials", entry(F.col("items_total") + F.col("tax_ship") + invoice)),
@@ -343,7 +328,7 @@ def material_sources(
     listed_invoices = _listed(invoices, job_list)
     items = invoice_items(listed_invoices).where(F.col("type").isin(*MATERIAL_ITEM_TYPES))
     paid = payments.join(listed_invoices.select(F.col("id").alias("invoice_id")), "invoice_id", "left_semi")
-    return _union([
+    return union_all([
         summary(_open_orders(orders, job_list), "Purchase Orders", "job_id", money("total"), money("tax"), money("shipping"), money("subtotal")),
         summary(items, "Invoice Materials/Equipment", "job_id", F.col("cost"), zero, zero, F.col("total")),
         summary(_listed(returns, job_list), "Returns (negative)", "job_id", -money("total"), -money("tax"), zero, -money("subtotal")),
@@ -449,7 +434,7 @@ def booked_definitions(
         ).select(F.lit(label).alias("method"), "*")
 
     of_done = estimates.join(done, "job_id")
-    return _union([
+    return union_all([
         method(estimates.where(sold & local_day_range("sold_on", start, end, tz)), "Sold in window", amount),
         method(of_done.where(sold), "Sold, job completed in window", amount),
         method(of_done.where(complete), "All estimates of completed jobs", amount),
@@ -477,7 +462,7 @@ def close_rate_definitions(
     completed = rows.agg(
         n.alias("total_jobs"), n.alias("sales_opps"), w.alias("closed_opps"), percent(w, n).alias("close_rate")
     )
-    return _union([
+    return union_all([
         current.select(F.lit("Current rule").alias("method"), "*"),
         completed.select(F.lit("Completed estimate jobs").alias("method"), "*"),
     ])
@@ -505,7 +490,7 @@ def baseline_vs_current(totals: dict[str, tuple[DataFrame, Column, float]]) -> D
 
     ``totals``: name -> (mart rows of the window, aggregate, baseline).
     """
-    return _union([
+    return union_all([
         df.agg(value.cast("double").alias("current")).select(
             F.lit(name).alias("kpi"),
             F.lit(float(base)).alias("baseline"),

@@ -31,6 +31,7 @@ from fieldkpi.functions.expr import (
     sum_money,
     utc_midnight,
 )
+from fieldkpi.functions.frames import union_all
 from fieldkpi.functions.joins import spread_join
 from fieldkpi.operators import marts
 from fieldkpi.sources import tables
@@ -59,7 +60,7 @@ def stack_max(branches: Iterable[DataFrame], keys: Sequence[str] = KEYS) -> Data
         )
         for b in branches
     ]
-    return _union(padded).groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
+    return union_all(padded).groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
 
 
 def stack_values(
@@ -69,10 +70,7 @@ def stack_values(
     they are (null where absent).  One shuffle, however many branches there are."""
     branches = list(branches)
     measures = _measures(branches, keys)
-    stacked = branches[0]
-    for b in branches[1:]:
-        stacked = stacked.unionByName(b, allowMissingColumns=True)
-    return stacked.groupBy(*keys).agg(
+    return union_all(branches, pad=True).groupBy(*keys).agg(
         *[
             F.max(m).alias(m) if m in rates else F.coalesce(F.sum(m), F.lit(0).cast(t)).alias(m)
             for m, t in measures.items()
@@ -96,10 +94,7 @@ def spine(
     """
     branches, snapshots = list(branches), list(snapshots)
     measures = _measures(branches, keys)
-    stacked = branches[0]
-    for b in branches[1:]:
-        stacked = stacked.unionByName(b, allowMissingColumns=True)
-    out = stacked.groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
+    out = union_all(branches, pad=True).groupBy(*keys).agg(*[F.max(m).alias(m) for m in measures])
     for s in snapshots:
         out = out.join(s, unit, "left")
         measures |= {c: t for c, t in s.dtypes if c != unit}
@@ -112,13 +107,6 @@ def _measures(branches: Sequence[DataFrame], keys: Sequence[str]) -> dict[str, s
     return {c: t for b in branches for c, t in b.dtypes if c not in keys}
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 # --- branches ---------------------------------------------------------------------
 
 

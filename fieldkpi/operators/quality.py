@@ -32,6 +32,7 @@ from fieldkpi.functions.expr import (
     sum_money,
     utc_midnight,
 )
+from fieldkpi.functions.frames import union_all
 
 
 @dataclass(frozen=True)
@@ -98,16 +99,9 @@ def _metric_rows(df: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     )
 
 
-def _union(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def stoplight(tables: Sequence[tuple[DataFrame, Sequence[Metric]]]) -> DataFrame:
     """Metrics of several tables, each scanned once, graded red, yellow or green."""
-    rows = _union([_metric_rows(df, metrics) for df, metrics in tables])
+    rows = union_all([_metric_rows(df, metrics) for df, metrics in tables])
     value, up = F.col("value"), F.col("higher_is_better")
     bad = F.when(up, value < F.col("red_threshold")).otherwise(value > F.col("red_threshold"))
     good = F.when(up, value >= F.col("green_threshold")).otherwise(value <= F.col("green_threshold"))
@@ -129,7 +123,7 @@ def monthly_coverage(entities: dict[str, tuple[DataFrame, str, str]], since: str
     ]
     before = F.lag("record_count").over(Window.partitionBy("entity").orderBy("month"))
     return (
-        _union(parts)
+        union_all(parts)
         .withColumn("prior", before)
         .select(
             "entity",
@@ -181,7 +175,7 @@ def join_integrity(
         )
     name, share = F.col("join_type"), F.col("coverage_percent")
     return (
-        _union(parts)
+        union_all(parts)
         .withColumn("records_missing_join", F.col("total_records") - F.col("records_with_join"))
         .withColumn("coverage_percent", percent("records_with_join", "total_records"))
         .withColumn(
@@ -250,7 +244,7 @@ def run_suite(checks: dict[str, Check]) -> DataFrame:
     def flagged(check: Check, flag: str) -> Column:
         return count_if(F.col(check.status).contains(flag))
 
-    return _union(
+    return union_all(
         [
             c.rows.agg(
                 F.when(F.coalesce(c.failed, F.lit(False)), "FAILED").otherwise("PASSED").alias("status"),
@@ -270,7 +264,7 @@ def any_status(status: str, text: str) -> Column:
 
 def suite_samples(checks: dict[str, Check], n: int = 5) -> DataFrame:
     """The first rows of each check, as JSON."""
-    return _union(
+    return union_all(
         [
             c.rows.orderBy(*c.rows.columns).limit(n).select(
                 F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("sample")
@@ -325,7 +319,7 @@ def date_gaps(days: DataFrame, leads: DataFrame, completed: DataFrame) -> DataFr
 
 def entity_coverage(entities: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows, first and last day, span and distinct days per entity."""
-    return _union(
+    return union_all(
         [
             df.agg(
                 F.count("*").alias("row_count"),
@@ -347,7 +341,7 @@ def rows_per_year(rows: DataFrame, column: str = "created_on") -> DataFrame:
 
 
 def ingest_freshness(entities: dict[str, tuple[DataFrame, str]], now: str) -> DataFrame:
-    return _union(
+    return union_all(
         [
             df.agg(F.max(at).alias("last_ingested"), F.count("*").alias("total_records")).select(
                 F.lit(name).alias("entity"),
@@ -432,7 +426,7 @@ def days_since_last(mart: DataFrame, as_of: str) -> DataFrame:
 
 def mart_summary(marts: dict[str, DataFrame]) -> DataFrame:
     """Rows, units and date range of each mart."""
-    return _union(
+    return union_all(
         [
             df.agg(
                 F.count("*").alias("rows"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldkpi.functions.constants import CAUTION, CROSS, EXACT, FLAG_RED, MAJOR, MINOR, TICK
 from fieldkpi.functions.expr import count_if, money, or_zero, percent, rounded, sum_money
+from fieldkpi.functions.frames import union_all
 
 
 @dataclass(frozen=True)
@@ -86,9 +87,7 @@ def by_market(parts: Sequence[DataFrame], unit: str = "business_unit") -> DataFr
     one row per market, as in a chain of full outer joins on the derived key.
     """
     keyed = [p.withColumn("market", market(unit)).drop(unit) for p in parts]
-    stacked = keyed[0]
-    for p in keyed[1:]:
-        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    stacked = union_all(keyed, pad=True)
     measures = [c for c in stacked.columns if c != "market"]
     return stacked.groupBy("market").agg(*[F.max(m).alias(m) for m in measures])
 

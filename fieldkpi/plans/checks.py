@@ -171,19 +171,27 @@ def integrity(d: Domain) -> DataFrame:
             ),
         ],
         AS_OF,
+    ).unionByName(
+        quality.join_integrity(
+            [(d.payments(), "created_on", {"payments_to_invoices": "invoice_id"})], PAID_AS_OF
+        )
     )
 
 
-def _join_row(name: str, table: str, column: str, at: str = "created_on") -> str:
-    return f"SELECT '{name}' AS join_type, COUNT(*) AS n, COUNT({column}) AS f FROM {table} WHERE {_recent(at, days=90)}"
+def _join_row(name: str, table: str, column: str, at: str = "created_on", as_of: str = AS_OF) -> str:
+    return (
+        f"SELECT '{name}' AS join_type, COUNT(*) AS n, COUNT({column}) AS f FROM {table}"
+        f" WHERE {_recent(at, as_of, 90)}"
+    )
 
 
 _INTEGRITY = f"""SELECT join_type, n AS total_records, f AS records_with_join, n - f AS records_missing_join,
         {pct('f', 'n')} AS coverage_percent,
-        CASE WHEN join_type IN ('invoices_to_jobs', 'estimates_to_jobs') AND {pct('f', 'n')} < 85 THEN '🔴 CRITICAL'
+        CASE WHEN join_type IN ('invoices_to_jobs', 'payments_to_invoices', 'estimates_to_jobs') AND {pct('f', 'n')} < 85 THEN '🔴 CRITICAL'
              WHEN {pct('f', 'n')} < 70 THEN '🟡 WARNING' WHEN {pct('f', 'n')} >= 95 THEN '🟢 EXCELLENT'
              ELSE '🟢 OK' END AS status,
         CASE WHEN join_type IN ('invoices_to_jobs', 'estimates_to_jobs') THEN 90.0::DOUBLE
+             WHEN join_type = 'payments_to_invoices' THEN 95
              WHEN join_type LIKE '%_to_business_units' THEN 85 ELSE 75 END AS threshold_percent
     FROM ({" UNION ALL ".join([
         _join_row("invoices_to_jobs", "invoices", "job_id"),
@@ -193,7 +201,8 @@ _INTEGRITY = f"""SELECT join_type, n AS total_records, f AS records_with_join, n
         _join_row("estimates_to_sellers", "estimates", "sold_by_id"),
         _join_row("jobs_to_customers", "jobs", "customer_id"),
         _join_row("jobs_to_business_units", "jobs", "business_unit_id"),
-        _join_row("jobs_to_campaigns", "jobs", "campaign_id")])})"""
+        _join_row("jobs_to_campaigns", "jobs", "campaign_id"),
+        _join_row("payments_to_invoices", "payments", "invoice_id", "created_on", PAID_AS_OF)])})"""
 
 query("dq_03_join_integrity", "SELECT * FROM integrity", integrity=_INTEGRITY)(integrity)
 
@@ -877,11 +886,11 @@ def _(d: Domain) -> DataFrame:
 @query(
     "rec_07_id_difference",
     """SELECT id AS job_id, 'ours' AS side FROM jobs WHERE id NOT IN (SELECT job_id FROM rets)
-       UNION ALL SELECT -id, 'theirs' FROM jobs WHERE job_status = 'Canceled' AND id > 0""",
+       UNION ALL SELECT -id - 1, 'theirs' FROM jobs WHERE job_status = 'Canceled'""",
 )
 def _(d: Domain) -> DataFrame:
     ours = d.jobs().select(F.col("id").alias("job_id"))
-    unknown = d.jobs().where("job_status = 'Canceled' AND id > 0").select((-F.col("id")).alias("job_id"))
+    unknown = d.jobs().where("job_status = 'Canceled'").select((-F.col("id") - 1).alias("job_id"))
     return reconcile.id_difference(ours, d.returns().select("job_id").unionByName(unknown))
 
 
@@ -1449,11 +1458,11 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "dgn_15_kpi_day_one_unit",
-    "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04' AND business_unit = 'NATION_1-Production'",
+    "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04' AND business_unit = 'NATION_6-Sales'",
     **_KPI1,
 )
 def _(d: Domain) -> DataFrame:
-    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_1-Production")
+    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_6-Sales")
 
 
 def _m(c: str) -> str:

@@ -788,12 +788,13 @@ def _(d: Domain) -> DataFrame:
     "per_12_payroll_by_activity",
     f"""SELECT p.activity, u.name AS business_unit, {dsum('p.paid_duration_hours')} AS total_hours,
                {dsum('p.amount')} AS total_cost, COUNT(DISTINCT p.source_entity_id) AS payroll_entries
-        FROM payroll p LEFT JOIN (SELECT 'Unit ' || id AS name FROM units WHERE id < 20) u
+        FROM payroll p LEFT JOIN (SELECT 'Unit ' || id AS name FROM units WHERE region <> 'EUROPE') u
              ON p.business_unit_name = u.name
         WHERE p.date >= TIMESTAMP '{SINCE}' GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
-    known = d.units().where("id < 20").select("id", F.concat(F.lit("Unit "), "id").alias("name"))
+    """Units of one region are unknown to the dimension."""
+    known = d.units().where("region <> 'EUROPE'").select("id", F.concat(F.lit("Unit "), "id").alias("name"))
     return periods.payroll_by_activity(d.payroll(), known, SINCE)
 
 
