@@ -55,16 +55,35 @@ def job_dates_with_fallback(
     )
 
 
-def invoice_rollup(invoices: DataFrame) -> DataFrame:
-    return (
-        _with_job(invoices)
-        .groupBy("job_id")
-        .agg(
-            sum_money("subtotal").alias("invoice_subtotal"),
-            sum_money("total").alias("invoice_total"),
-            sum_money("sales_tax").alias("invoice_tax"),
-            F.count("*").alias("invoice_count"),
+def invoice_rollup(invoices: DataFrame, *, item_types: Sequence[str] = ()) -> DataFrame:
+    """Invoice sums per job; with ``item_types`` also the cost and number of the line
+    items of those types, added up within each invoice so that one grouping does."""
+    rows = _with_job(invoices)
+    measures = [
+        sum_money("subtotal").alias("invoice_subtotal"),
+        sum_money("total").alias("invoice_total"),
+        sum_money("sales_tax").alias("invoice_tax"),
+        F.count("*").alias("invoice_count"),
+    ]
+    if item_types:
+        picked = F.filter(
+            json_items("items", "type string, cost string"), lambda i: i["type"].isin(*item_types)
         )
+        rows = rows.withColumn("_picked", picked).withColumn("_cost", _item_cost("_picked"))
+        measures += [
+            F.sum("_cost").alias("invoice_material_cost"),
+            F.sum(F.coalesce(F.size("_picked"), F.lit(0))).alias("material_item_count"),
+        ]
+    return rows.groupBy("job_id").agg(*measures)
+
+
+def _item_cost(items: str) -> Column:
+    """Sum of the costs that are numbers."""
+    zero = F.lit(0).cast("decimal(18,4)")
+    return F.aggregate(
+        items,
+        zero,
+        lambda total, i: money(total + F.coalesce(i["cost"].try_cast("decimal(18,4)"), zero)),
     )
 
 
@@ -141,13 +160,8 @@ def item_material_rollup(
     )
 
 
-def combine_materials(orders: DataFrame, items: DataFrame | None) -> DataFrame:
+def combine_materials(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Purchase orders plus invoice items per job; either side may be absent."""
-    if items is None:
-        return orders.select(
-            "job_id", or_zero("po_cost").alias("material_cost"), "po_count",
-            F.lit(0).cast("bigint").alias("invoice_material_count"),
-        )
     return orders.join(items, "job_id", "full").select(
         "job_id",
         (or_zero("po_cost") + or_zero("invoice_material_cost")).alias("material_cost"),
@@ -194,18 +208,20 @@ def job_costing(
     else:
         raise ValueError(f"unknown date_rule {date_rule!r}")
 
-    materials = combine_materials(
-        purchase_order_rollup(purchase_orders),
-        item_material_rollup(invoices) if include_invoice_materials else None,
-    )
+    item_types = MATERIAL_ITEM_TYPES if include_invoice_materials else ()
     joined = (
         dim_jobs.withColumnRenamed("id", "job_id")
         .join(dates.where(F.col("job_start_date").isNotNull()), "job_id")
-        .join(invoice_rollup(invoices), "job_id", "left")
+        .join(invoice_rollup(invoices, item_types=item_types), "job_id", "left")
         .join(labor_rollup(payroll, count_lines=count_lines), "job_id", "left")
-        .join(materials, "job_id", "left")
+        .join(purchase_order_rollup(purchase_orders), "job_id", "left")
         .join(return_rollup(returns), "job_id", "left")
     )
+    material = or_zero("po_cost")
+    item_count = F.lit(0).cast("bigint").alias("invoice_material_count")
+    if item_types:
+        material = money(material + or_zero("invoice_material_cost"))
+        item_count = _count("material_item_count", "invoice_material_count")
     adjustment = F.lit(0).cast("decimal(18,4)")
     if adjustments is not None:
         joined = joined.join(adjustment_rollup(adjustments, invoices), "job_id", "left")
@@ -225,15 +241,15 @@ def job_costing(
         or_zero("invoice_subtotal").alias("revenue_subtotal"),
         or_zero("invoice_total").alias("revenue_total"),
         money(or_zero("total_labor_cost") + adjustment).alias("labor_cost"),
-        money(or_zero("material_cost") - or_zero("return_credit")).alias("material_cost_net"),
+        money(material - or_zero("return_credit")).alias("material_cost_net"),
         or_zero("total_labor_cost").alias("labor_gross_pay"),
         adjustment.alias("payroll_adjustments"),
-        or_zero("material_cost").alias("material_cost_raw"),
+        material.alias("material_cost_raw"),
         or_zero("return_credit").alias("return_credit"),
         _count("invoice_count"),
         _count("tech_count"),
         _count("po_count"),
-        _count("invoice_material_count"),
+        item_count,
         F.coalesce(F.col("job_type_name").isin(*warranty_types), F.lit(False)).alias("is_warranty")
         if warranty_types
         else F.lit(False).alias("is_warranty"),

@@ -1458,11 +1458,11 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "dgn_15_kpi_day_one_unit",
-    "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04' AND business_unit = 'NATION_6-Sales'",
+    "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04' AND business_unit = 'NATION_17-Production'",
     **_KPI1,
 )
 def _(d: Domain) -> DataFrame:
-    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_6-Sales")
+    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_17-Production")
 
 
 def _m(c: str) -> str:

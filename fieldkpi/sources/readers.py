@@ -15,10 +15,8 @@ def read_entity_pages(spark: SparkSession, path: str, *, multi_line: bool = Fals
     Pages are files (``multi_line``) or lines; the records keep their nesting, and the
     entity's flattening picks what it needs.
     """
-    pages = spark.read.schema("data array<variant>").json(path, multiLine=multi_line)
-    return pages.select(F.explode("data").alias("record")).select(
-        F.to_json("record").alias("record")
-    )
+    pages = spark.read.schema("data array<string>").json(path, multiLine=multi_line)
+    return pages.select(F.explode("data").alias("record"))
 
 
 def read_report(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
