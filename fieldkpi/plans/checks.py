@@ -13,10 +13,10 @@ from fieldkpi.operators.reconcile import COUNT_BAND, DOLLAR_BAND, MARGIN_BAND, W
 from fieldkpi.plans.catalog import query
 from fieldkpi.plans.domain import Domain
 from fieldkpi.plans.kpis import (
-    _KPI1,
     DAILY,
     KPI_WEEKS,
     REGIONS,
+    TEN_KPI_SQL,
     daily_kpis,
     kpi_weeks,
     ten_kpis,
@@ -701,7 +701,7 @@ _BASELINE = [
     ("NATION_1-Production", 0.0, 0.0, 500000.0, 90.0, 1.0, 0.0, 0.0, 0.0, 100000.0, 50000000.0),
     ("NATION_99-Sales", 5.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
 ]
-_WEEK_SQL = _KPI1 | {
+_WEEK_SQL = TEN_KPI_SQL | {
     "week_units": f"""SELECT business_unit, {', '.join(_week_measure(c) for c in _TEN)} FROM ten_kpis
         WHERE event_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}' GROUP BY 1""",
     "baseline": f"""SELECT * FROM (VALUES {', '.join(f"('{r[0]}', " + ', '.join(f'{x}::DOUBLE' for x in r[1:]) + ')' for r in _BASELINE)})
@@ -1451,7 +1451,7 @@ def _(d: Domain) -> DataFrame:
     return diagnostics.batch_extents(d.report_job_cost())
 
 
-@query("dgn_15_kpi_day_units", "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04'", **_KPI1)
+@query("dgn_15_kpi_day_units", "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04'", **TEN_KPI_SQL)
 def _(d: Domain) -> DataFrame:
     return diagnostics.kpi_day(ten_kpis(d), "1998-03-04")
 
@@ -1459,7 +1459,7 @@ def _(d: Domain) -> DataFrame:
 @query(
     "dgn_15_kpi_day_one_unit",
     "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04' AND business_unit = 'NATION_17-Production'",
-    **_KPI1,
+    **TEN_KPI_SQL,
 )
 def _(d: Domain) -> DataFrame:
     return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_17-Production")
@@ -1476,7 +1476,7 @@ def _m(c: str) -> str:
                {rsum(_x('dollars_collected'))} AS weekly_collected, CAST(SUM(num_estimates) AS BIGINT) AS weekly_estimates,
                {_m('close_rate_percent')} AS avg_close_rate
         FROM ten_kpis WHERE event_date BETWEEN DATE '{WEEK[0]}' AND DATE '{WEEK[1]}' GROUP BY 1""",
-    **_KPI1,
+    **TEN_KPI_SQL,
 )
 def _(d: Domain) -> DataFrame:
     return diagnostics.kpi_window(ten_kpis(d), *WEEK)

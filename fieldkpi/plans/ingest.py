@@ -596,30 +596,131 @@ def _(d: Domain) -> DataFrame:
     return flat_invoices(invoice_records(d))
 
 
+def _iso(c: str) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def as_records(rows: DataFrame, **fields: str | Column) -> DataFrame:
+    """Rows as the API's JSON records; plain names are columns."""
+    values = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in fields.items()]
+    return rows.select(F.to_json(F.struct(*values)).alias("record"))
+
+
+@query(
+    "nrm_01_flatten_jobs",
+    "SELECT id, job_number, customer_id, job_status, business_unit_id, created_on, completed_on FROM jobs",
+)
+def _(d: Domain) -> DataFrame:
+    records = as_records(
+        d.jobs(),
+        id="id",
+        jobNumber="job_number",
+        customerId="customer_id",
+        jobStatus="job_status",
+        businessUnitId="business_unit_id",
+        createdOn=_iso("created_on"),
+        completedOn=_iso("completed_on"),
+    )
+    return normalize.flatten_entity(records, "jobs").select(
+        "id", "job_number", "customer_id", "job_status", "business_unit_id", "created_on", "completed_on"
+    )
+
+
+@query(
+    "nrm_01_flatten_estimates",
+    """SELECT id, job_id, status, created_on, sold_on, sold_by_id, CAST(subtotal AS DOUBLE) AS subtotal,
+              CAST(total AS DOUBLE) AS total FROM estimates""",
+)
+def _(d: Domain) -> DataFrame:
+    """The status is an object and the seller has another name in the record."""
+    records = as_records(
+        d.estimates(),
+        id="id",
+        jobId="job_id",
+        status=F.struct(F.lit(1).alias("value"), F.col("status").alias("name")),
+        createdOn=_iso("created_on"),
+        soldOn=_iso("sold_on"),
+        soldBy="sold_by_id",
+        subtotal="subtotal",
+        total="total",
+    )
+    return normalize.flatten_entity(records, "estimates").select(
+        "id", "job_id", "status", "created_on", "sold_on", "sold_by_id", "subtotal", "total"
+    )
+
+
 @query(
     "nrm_02_flatten_appointments",
     """SELECT id, job_id, scheduled_start, scheduled_end, status FROM appts""",
 )
 def _(d: Domain) -> DataFrame:
-    def iso(c: str) -> Column:
-        return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-
-    records = d.appointments().select(
-        F.to_json(
-            F.struct(
-                "id",
-                F.col("job_id").alias("jobId"),
-                iso("scheduled_start").alias("start"),
-                iso("scheduled_end").alias("end"),
-                "status",
-            )
-        ).alias("record")
+    records = as_records(
+        d.appointments(),
+        id="id",
+        jobId="job_id",
+        start=_iso("scheduled_start"),
+        end=_iso("scheduled_end"),
+        status="status",
     )
     return normalize.flatten_entity(records, "appointments").select(
         "id", "job_id", "scheduled_start", "scheduled_end", "status"
     )
 
 
+@query(
+    "nrm_02_flatten_customers",
+    "SELECT id, name, type, CAST(balance AS DOUBLE) AS balance FROM customers",
+)
+def _(d: Domain) -> DataFrame:
+    records = as_records(d.customers(), id="id", name="name", type="type", balance="balance")
+    return normalize.flatten_entity(records, "customers").select("id", "name", "type", "balance")
+
+
+@query(
+    "nrm_02_flatten_locations",
+    """SELECT c.id, c.id AS customer_id, z.zip5 FROM customers c LEFT JOIN location_zips z ON z.location_id = c.id""",
+)
+def _(d: Domain) -> DataFrame:
+    """The address object stays JSON, read late for its ZIP."""
+    records = as_records(
+        d.locations(), id="id", customerId="customer_id", address=F.parse_json("address")
+    )
+    return normalize.flatten_entity(records, "locations").select(
+        "id", "customer_id", parse.zip5("address").alias("zip5")
+    )
+
+
+@query(
+    "nrm_02_flatten_payments",
+    """SELECT id, invoice_id, CAST(amount AS DOUBLE) AS amount, payment_type_id,
+              date_trunc('second', created_on) AS created_on FROM payments""",
+)
+def _(d: Domain) -> DataFrame:
+    records = as_records(
+        d.payments(),
+        id="id",
+        invoiceId="invoice_id",
+        amount="amount",
+        typeId="payment_type_id",
+        createdOn=_iso("created_on"),
+    )
+    return normalize.flatten_entity(records, "payments").select(
+        "id", "invoice_id", "amount", "payment_type_id", "created_on"
+    )
+
+
+@query(
+    "nrm_02_flatten_job_types",
+    """SELECT t.id, t.name, TRUE AS active, COUNT(*) AS jobs FROM job_types t
+       JOIN jobs j ON j.job_type_id = t.id GROUP BY 1, 2""",
+)
+def _(d: Domain) -> DataFrame:
+    """Types without the active flag, with the jobs that use them."""
+    types = normalize.flatten_entity(as_records(d.job_types(), id="id", name="name"), "job_types")
+    used = d.jobs().groupBy(F.col("job_type_id").alias("id")).agg(F.count("*").alias("jobs"))
+    return types.join(used, "id").select("id", "name", "active", "jobs")
+
+
 @query(
     "nrm_03_dimension_defaults",
     "SELECT id, name, COALESCE(active, TRUE) AS active FROM technicians",

@@ -153,7 +153,7 @@ def ten_kpis(d: Domain) -> DataFrame:
     return kpi.spine(daily, snapshots)
 
 
-_KPI1 = FACT | {
+TEN_KPI_SQL = FACT | {
     "t_leads": f"""SELECT CAST(j.created_on AS DATE) AS event_date, j.business_unit,
             COUNT(DISTINCT j.customer_id) AS lead_count
         FROM dim_jobs j LEFT JOIN customers c ON j.customer_id = c.id
@@ -212,7 +212,7 @@ _KPI1 = FACT | {
         LEFT JOIN t_future USING (business_unit) LEFT JOIN t_ar USING (business_unit)""",
 }
 
-query("kpi_01_ten_kpis", "SELECT * FROM ten_kpis", **_KPI1)(ten_kpis)
+query("kpi_01_ten_kpis", "SELECT * FROM ten_kpis", **TEN_KPI_SQL)(ten_kpis)
 
 _SOLD_JOB = f"""SELECT CAST(sold_on AS DATE) AS event_date, business_unit, COUNT(DISTINCT job_id) AS lead_count,
     COUNT(DISTINCT id) AS estimate_count, {dsum('amount')} AS total_booked, 1.0::DOUBLE AS close_rate
@@ -405,14 +405,14 @@ def _(d: Domain) -> DataFrame:
 
 
 @query("kpi_08_invoice_margin", """SELECT event_date, business_unit, dollars_produced, gpm_percent, warranty_percent
-    FROM t_warranty LEFT JOIN t_margin USING (event_date, business_unit)""", **_KPI1)
+    FROM t_warranty LEFT JOIN t_margin USING (event_date, business_unit)""", **TEN_KPI_SQL)
 def _(d: Domain) -> DataFrame:
     return kpi.invoice_margin(
         d.invoices(), d.dim_jobs(), job_cost_fact(d), SINCE, excluded_types=NON_PRODUCTION_JOB_TYPES
     )
 
 
-@query("kpi_09_mean_close_rate", "SELECT * FROM t_rate", t_rate=_KPI1["t_rate"])
+@query("kpi_09_mean_close_rate", "SELECT * FROM t_rate", t_rate=TEN_KPI_SQL["t_rate"])
 def _(d: Domain) -> DataFrame:
     return kpi.mean_close_rate(d.estimates(), d.dim_jobs(), SINCE)
 
@@ -507,7 +507,7 @@ def _weighted(side: str, c: str, w: str) -> str:
                CAST({_zero_if('-Sales', 'future_bookings')} AS DOUBLE) AS future_bookings
         FROM ten_kpis JOIN regions USING (business_unit) WHERE event_date >= DATE '{SINCE}' GROUP BY 1, 2""",
     regions=REGIONS,
-    **_KPI1,
+    **TEN_KPI_SQL,
 )
 def _(d: Domain) -> DataFrame:
     return regional.regional_kpis(ten_kpis(d), d.regions(), SINCE)
@@ -706,7 +706,7 @@ def _mean(c: str) -> str:
     return rnd(ratio(f"SUM({_exact(c)})", f"COUNT({c})"))
 
 
-KPI_WEEKS = _KPI1 | {
+KPI_WEEKS = TEN_KPI_SQL | {
     "kpi_weeks": f"""SELECT CAST(date_trunc('week', event_date) AS DATE) AS week_start, business_unit,
             CAST(SUM(lead_count) AS BIGINT) AS leads, {rsum(_exact('total_booked'))} AS total_booked,
             {rsum(_exact('dollars_produced'))} AS dollars_produced, {_mean('gpm_percent')} AS avg_gpm_percent,
