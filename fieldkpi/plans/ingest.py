@@ -236,6 +236,24 @@ def _(d: Domain) -> DataFrame:
     )
 
 
+@query(
+    "snk_01_bucketed_tables",
+    """SELECT j.id AS job_id, j.job_status, i.n AS invoice_count FROM jobs j
+       JOIN (SELECT job_id, COUNT(*) AS n FROM invoices GROUP BY 1) i ON i.job_id = j.id""",
+)
+def _(d: Domain) -> DataFrame:
+    """Jobs and their invoice counts, written into equal buckets and joined in place."""
+    folder = new_folder(d.spark, "buckets")
+    tag = folder.rsplit("-", 1)[1]
+    jobs = d.jobs().select(F.col("id").alias("job_id"), "job_status")
+    counts = d.invoices().where(F.col("job_id").isNotNull()).groupBy("job_id").agg(
+        F.count("*").alias("invoice_count")
+    )
+    left = tables.write_bucketed(jobs, f"jobs_{tag}", f"{folder}/jobs", ["job_id"], 8)
+    right = tables.write_bucketed(counts, f"counts_{tag}", f"{folder}/counts", ["job_id"], 8)
+    return left.hint("merge").join(right, "job_id")
+
+
 @query(
     "snk_02_additive_schema",
     f"""SELECT id, job_status, NULL::VARCHAR AS job_number, created_on FROM ({_UPSERTED})

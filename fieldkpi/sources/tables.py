@@ -48,6 +48,26 @@ def write_by_day(
     )
 
 
+def write_bucketed(
+    rows: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """Write a catalog table bucketed and sorted by its key, and return it.
+
+    Tables with the same buckets join on the key without a shuffle.  Meant for tables
+    with one row per key, such as job dimensions and job costing: rows of one key share
+    a bucket, so a very frequent key belongs in a day-partitioned table instead.
+    """
+    (
+        rows.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .mode("overwrite")
+        .option("path", path)
+        .saveAsTable(name)
+    )
+    return rows.sparkSession.table(name)
+
+
 def evolve(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Add the schema's missing columns as nulls; never drop or retype one."""
     missing = [f for f in schema.fields if f.name not in rows.columns]

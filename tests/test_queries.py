@@ -13,6 +13,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 import __spark_entry__ as entry
 import check
+from pyspark.sql import functions as F
+
+from fieldkpi.operators import kpi, marts
+from fieldkpi.plans.domain import Domain
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = (
@@ -60,6 +64,49 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in scan
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    df = entry.queries()["snk_01_bucketed_tables"](spark, SF)
+    assert df.count() > 0
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_one_pass_sales_equal_separate_branches(spark):
+    d = Domain(spark, SF)
+    args = (d.estimates(), d.dim_jobs(), "1997-01-01")
+    separate = kpi.stack_values(
+        [
+            kpi.made_estimates(*args, type_ids=(1, 2)),
+            kpi.sold_close_rate(*args, type_ids=(1, 2)),
+            kpi.sold_revenue(*args),
+        ],
+        kpi.RATES,
+    )
+    columns = separate.columns
+    one_pass = kpi.stack_values([kpi.sales_by_own_date(*args, type_ids=(1, 2))], kpi.RATES)
+    assert sorted(map(str, one_pass.select(*columns).collect())) == sorted(map(str, separate.collect()))
+
+
+def test_spine_equals_stack_where_nothing_is_negative(spark):
+    d = Domain(spark, SF)
+    branches = [
+        kpi.created_leads(d.dim_jobs(), "1997-01-01", type_ids=(1, 2)),
+        kpi.sold_revenue(d.estimates(), d.dim_jobs(), "1997-01-01"),
+    ]
+    results = [kpi.spine(branches), kpi.stack_max(branches), kpi.stack_values(branches)]
+    columns = results[0].columns
+    first, *others = [sorted(map(str, r.select(*columns).collect())) for r in results]
+    assert all(o == first for o in others)
+
+
+def test_units_add_up_to_the_company(spark):
+    d = Domain(spark, SF)
+    sold = marts.sold_in_sales_units(d.estimates(), d.dim_jobs())
+    by_unit = marts.total_sales_daily_unit(sold).agg(F.sum("sold_estimate_count")).first()[0]
+    company = marts.total_sales_daily(sold).agg(F.sum("sold_estimate_count")).first()[0]
+    assert by_unit == company
+
+
 @pytest.mark.parametrize("name", ["mrt_04_opportunity_daily", "jct_10_job_costing", "kpi_01_ten_kpis", "dgn_02_booked_by_basis"])
 def test_no_pair_products_and_no_python(spark, name):
     text = plan(spark, name)
