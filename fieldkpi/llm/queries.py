@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import classifier, frames, mixing, urls
+from fieldkpi.llm import classifier, contamination, frames, mixing, neardup, urls
 
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -21,6 +21,10 @@ LISTED_LABELS = ("ads-track", "casino-win", "free-bets", "cheap-pills", "spam-fa
 LISTED = rf"(^|[.])({'|'.join(LISTED_LABELS)})[.]"
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(frames.documents(spark, sf_dir), width=3, percent=85)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(frames.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "repeats")
 
@@ -29,13 +33,19 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(frames.documents(spark, sf_dir), frames.labels(spark, sf_dir))
 
 
+def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(frames.documents(spark, sf_dir), frames.benchmark(spark, sf_dir))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES, F.col("host").rlike(LISTED))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op2_mixing": op2_mixing,
     "op4_quality": op4_quality,
+    "op6_contamination": op6_contamination,
     "op10_urls": op10_urls,
 }
 
