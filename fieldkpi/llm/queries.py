@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import classifier, contamination, frames, mixing, neardup, urls
+from fieldkpi.llm import classifier, contamination, frames, mixing, neardup, passages, urls
 
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -29,6 +29,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(frames.documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "repeats")
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(frames.documents(spark, sf_dir))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(frames.documents(spark, sf_dir), frames.labels(spark, sf_dir))
 
@@ -44,6 +48,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_mixing": op2_mixing,
+    "op3_passages": op3_passages,
     "op4_quality": op4_quality,
     "op6_contamination": op6_contamination,
     "op10_urls": op10_urls,
