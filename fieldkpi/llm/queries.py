@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import classifier, contamination, frames, mixing, neardup, passages, urls
+from fieldkpi.llm import classifier, contamination, frames, language, mixing, neardup, passages, rules, urls
 
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -41,6 +41,14 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(frames.documents(spark, sf_dir), frames.benchmark(spark, sf_dir))
 
 
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(frames.documents(spark, sf_dir), frames.labels(spark, sf_dir))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(frames.documents(spark, sf_dir))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), RULES, F.col("host").rlike(LISTED))
 
@@ -51,6 +59,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_passages": op3_passages,
     "op4_quality": op4_quality,
     "op6_contamination": op6_contamination,
+    "op7_rules": op7_rules,
+    "op9_language": op9_language,
     "op10_urls": op10_urls,
 }
 
