@@ -14,22 +14,33 @@ from fieldkpi.llm import frames, graphs, text
 
 BANDS, ROWS = 25, 4
 HASHES = BANDS * ROWS
+#: Bits that tell whether an odd number of shingles fall on each place: two sets differ in at least as many shingles as bits.
+PARITY = 2048
+#: 32-bit numbers of a signature: the minima, the parity bits, the set's size.
+SIGNATURE = HASHES + PARITY // 32 + 1
 #: Signatures are compared so many hashes at a time.
 BATCH = 10
 #: A pair goes when the posterior probability that it is similar enough falls below this.
 MISS = 1e-6
 #: Members of a bucket are compared in blocks of about so many.
 BLOCK = 128
+#: How often members outside their bucket's largest component are held against further hubs before blocks are compared.
+TURNS = 2
 _U = np.uint64
 _SEEDS, _FACTORS = text.stream(101, HASHES), text.stream(103, HASHES) | _U(1)
 
 
 def signatures(part: text.Texts, shingled: text.Shingled) -> np.ndarray:
-    """HASHES minima of each document's shingle set, 32 bits each (documents without shingles: all ones)."""
+    """Of each document's shingle set HASHES minima (without shingles: all ones), the parity bits and the size."""
     n = part.last - part.first
     counts = np.bincount(shingled.docs, minlength=n)
     some = np.flatnonzero(counts)
-    out = np.full((n, HASHES), 0xFFFFFFFF, np.uint32)
+    out = np.full((n, SIGNATURE), 0xFFFFFFFF, np.uint32)
+    bit = (text.mix(shingled.hashes ^ _U(0x7F4A7C15)) % _U(PARITY)).astype(np.int64)
+    parity = np.zeros(n * (PARITY // 32), np.uint32)
+    np.bitwise_xor.at(parity, shingled.docs * (PARITY // 32) + (bit >> 5), np.uint32(1) << (bit & 31).astype(np.uint32))
+    out[:, HASHES:-1] = parity.reshape(n, -1)
+    out[:, -1] = np.minimum(counts, 0xFFFFFFFF)
     if len(some):
         starts = text.exclusive(counts)[some]
         x = np.empty_like(shingled.hashes)
@@ -55,7 +66,7 @@ def _signed(width: int):
                 total = np.append(_U(0), np.cumsum(text.mix(s.hashes ^ _U(salt)), dtype=_U))
                 sums[k, :n] = total[bounds[1:]] - total[bounds[:-1]]
             sig = signatures(part, s)
-            rows = sig.reshape(n, BANDS, ROWS).astype(_U)
+            rows = sig[:, :HASHES].reshape(n, BANDS, ROWS).astype(_U)
             band = np.arange(BANDS, dtype=_U)[None, :] * _U(0xD6E8FEB86659FD93)
             for r in range(ROWS):
                 band = text.mix(band ^ rows[:, :, r])
@@ -104,18 +115,20 @@ def needed(percent: int, miss: float = MISS) -> np.ndarray:
 
 
 def survivors(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Rows of two signature matrices that no batch prunes."""
+    """Rows of two signature matrices that no batch prunes, and that do not differ in too many shingles for sure."""
     alive, agree = np.arange(len(a)), np.zeros(len(a), np.int64)
     for k, least in enumerate(needed(percent)):
         at = slice(k * BATCH, (k + 1) * BATCH)
         agree = agree + (a[alive, at] == b[alive, at]).sum(1)
         stays = agree >= least
         alive, agree = alive[stays], agree[stays]
-    return alive
+    differ = np.bitwise_count(a[alive, HASHES:-1] ^ b[alive, HASHES:-1]).sum(1, dtype=np.int64)
+    total = a[alive, -1].astype(np.int64) + b[alive, -1]
+    return alive[differ * (100 + percent) <= (100 - percent) * total]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIGNATURE)
 
 
 def _verified(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
@@ -150,15 +163,48 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return frames.per_batch(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb"), run, "a long, b long")
 
 
+def _hubs(seed: int, members=None) -> list:
+    """Two members that a hash of bucket and id draws, so that the buckets of a large group have different ones."""
+    draw = F.xxhash64(F.lit(seed), F.col("bucket"), F.col("id"))
+    who = F.col("id") if members is None else F.when(members, F.col("id"))
+    draw = draw if members is None else F.when(members, draw)
+    return [F.min_by(who, draw).alias(f"low{seed}"), F.max_by(who, draw).alias(f"high{seed}")]
+
+
+def _hub_pairs(placed: DataFrame) -> DataFrame:
+    """Each member with the hubs of its bucket (columns low* and high*)."""
+    hubs = [c for c in placed.columns if c.startswith(("low", "high"))]
+    pairs = placed.select("id", F.explode(F.array(*hubs)).alias("hub")).where("id <> hub")
+    return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+
+
+def _labelled(placed: DataFrame, joined: DataFrame) -> DataFrame:
+    return placed.join(joined, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+
+
+def _giants(members: DataFrame) -> DataFrame:
+    """(bucket, giant, all, rest) of the buckets that hold several components: the largest, all members, the others."""
+    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    per = parts.groupBy("bucket").agg(F.max_by("component", F.col("n")).alias("giant"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("kinds"))
+    return frames.written(per.where("kinds > 1").select("bucket", "giant", "all", (F.col("all") - F.col("most")).alias("rest")), "mixed")
+
+
+def _apart(large: DataFrame, joined: DataFrame, turn: int) -> DataFrame:
+    """Members outside the largest component of their bucket, with hubs drawn from it and from the others."""
+    members = frames.written(_labelled(large, joined), "labelled")
+    own = frames.written(members.join(_giants(members), "bucket"), "members")
+    giant = F.col("component") == F.col("giant")
+    hubs = own.groupBy("bucket").agg(*_hubs(10 * turn, giant), *_hubs(10 * turn + 1, giant), *_hubs(10 * turn + 2, ~giant))
+    return own.where(~giant).select("bucket", "id").join(frames.written(hubs, "hubs"), "bucket")
+
+
 def _blocked(members: DataFrame, percent: int) -> DataFrame:
     """Surviving pairs (a, b) of members of a bucket that are of different components, in blocks.
 
     ``members``: bucket, id, component.  Two members of the bucket's largest component need no comparison: each
     block of the others is held against every block of the bucket.
     """
-    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    per = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1")
-    per = frames.written(per.select("bucket", F.col("most.component").alias("giant"), "all", (F.col("all") - F.col("most.n")).alias("rest")), "mixed")
+    per = _giants(members)
     own = frames.written(members.join(per, "bucket"), "members")
     draw = F.xxhash64(F.lit(5), "id")
 
@@ -194,8 +240,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Words are lower-cased (A-Z); a document's set are its distinct shingles of ``width`` words (its whole
     sequence if it has fewer).  Documents are linked if 100 * intersection >= percent * union; component_id is
     the smallest doc_id reachable.  Equal sets are one class from the start.  The classes of a bucket are first
-    held against its smallest and its largest id; then what the links so found do not already join is compared
-    in blocks, so every pair of a bucket is joined or compared.  n_links counts the confirmed links of the
+    held against drawn hubs; then what the links so found do not already join is compared in blocks, so every
+    pair of a bucket is joined or compared.  n_links counts the confirmed links of the
     document's class in which it was compared.
 
     Null or empty texts have no shingles and are linked with nothing, as are rows with a null id (component
@@ -209,19 +255,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     reps = classes.select(F.col("rep").alias("id"), "n", "k1", "k2").join(some.select("id", "n", "k1", "k2", "sig", "bands"), ["id", "n", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
     reps = frames.written(reps.select("id", "sig", "bands"), "reps")
     buckets = reps.select("id", F.explode("bands").alias("bucket"))
-    shared = frames.written(buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1"), "shared")
-    placed = frames.written(buckets.join(shared, "bucket"), "placed")
-    hubs = placed.select("id", F.explode(F.array("low", "high")).alias("hub")).where("id <> hub")
-    pairs = frames.written(hubs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "pairs")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), *_hubs(1)).where("n > 1")
+    placed = frames.written(buckets.join(frames.written(shared, "shared"), "bucket"), "placed")
+    pairs = frames.written(_hub_pairs(placed), "pairs")
     wanted = frames.written(placed.select("id").distinct(), "wanted")
     sets = frames.written(frames.per_batch(rows.join(wanted, "id", "left_semi"), _sets(width), "id long, shingles binary"), "sets")
     alive = frames.written(_verified(pairs, reps, percent), "alive")
     links = frames.written(_linked(alive, sets, percent), "hub-links")
     joined = graphs.components(links)
 
-    open_ = placed.where("n > 3").select("bucket", "id").join(joined, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-    members = open_.join(reps.select("id", "sig"), "id")
-    rest = frames.written(_blocked(members, percent), "rest")
+    large = frames.written(placed.where("n > 3").select("bucket", "id"), "large")
+    for turn in range(TURNS):
+        apart = frames.written(_hub_pairs(_apart(large, joined, turn + 2)), "apart")
+        if apart.isEmpty():
+            break
+        more = frames.written(_linked(frames.written(_verified(apart, reps, percent), "alive"), sets, percent), "hub-links")
+        links = frames.written(links.unionByName(more).distinct(), "links")
+        joined = graphs.components(links)
+    rest = frames.written(_blocked(_labelled(large, joined).join(reps.select("id", "sig"), "id"), percent), "rest")
     more = frames.written(_linked(rest, sets, percent), "rest-links")
     links = links.unionByName(more).distinct()
     joined = frames.written(graphs.components(links), "components")
@@ -245,7 +296,8 @@ def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFram
     judged = near_duplicates(docs, width, percent)
     own = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows"))
     own = frames.written(own.where("_id IS NOT NULL AND (NOT _kept OR _rows > 1)"), "not-alone")
-    key = F.col("doc_id").cast("long") == F.col("_id")
-    single = docs.join(own, key, "left_anti")
-    several = docs.join(own.where("_kept"), key, "left_semi").dropDuplicates(["doc_id"])
+    id_ = docs["doc_id"].cast("long")
+    single = docs.join(own, id_ == own["_id"], "left_anti")
+    first = own.where("_kept")
+    several = docs.join(first, id_ == first["_id"], "left_semi").dropDuplicates(["doc_id"])
     return single.unionByName(several)
