@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import classifier, contamination, frames, language, mixing, neardup, passages, rules, urls
+from fieldkpi.llm import classifier, contamination, frames, language, mixing, neardup, passages, rules, suffixes, urls
 
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -37,6 +37,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.quality(frames.documents(spark, sf_dir), frames.labels(spark, sf_dir))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(frames.documents(spark, sf_dir))
+
+
 def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(frames.documents(spark, sf_dir), frames.benchmark(spark, sf_dir))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_passages": op3_passages,
     "op4_quality": op4_quality,
+    "op5_suffixes": op5_suffixes,
     "op6_contamination": op6_contamination,
     "op7_rules": op7_rules,
     "op9_language": op9_language,
