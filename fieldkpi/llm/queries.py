@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.llm import classifier, contamination, frames, language, mixing, neardup, passages, rules, suffixes, urls
+from fieldkpi.llm import classifier, contamination, frames, language, mixing, neardup, passages, pseudo, rules, suffixes, urls
 
 RULES = (
     urls.Rule("allow", "org", "/"),
@@ -49,6 +49,10 @@ def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(frames.documents(spark, sf_dir), frames.labels(spark, sf_dir))
 
 
+def op8_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudo.scored(frames.documents(spark, sf_dir))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(frames.documents(spark, sf_dir))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffixes": op5_suffixes,
     "op6_contamination": op6_contamination,
     "op7_rules": op7_rules,
+    "op8_pseudo_likelihood": op8_pseudo_likelihood,
     "op9_language": op9_language,
     "op10_urls": op10_urls,
 }
