@@ -377,11 +377,11 @@ def fan_out_totals(parts: Sequence[tuple[DataFrame, str]], jobs: DataFrame) -> D
     names = [name for _, name in parts]
 
     def repeated(name: str) -> Column:
-        factor = F.lit(1).cast("bigint")
+        factor = F.lit(1).cast("decimal(12,0)")
         for other in names:
             if other != name:
-                factor = factor * F.coalesce(F.col(f"n_{other}"), F.lit(1))
-        return F.sum(F.col(name).cast("decimal(24,4)") * factor.cast("decimal(14,0)"))
+                factor = factor * F.coalesce(F.col(f"n_{other}"), F.lit(1)).cast("decimal(12,0)")
+        return F.sum(F.col(name).cast("decimal(24,4)") * factor.cast("decimal(38,0)"))
 
     return joined.agg(
         *[F.sum(name).cast("double").alias(f"true_{name}") for name in names],

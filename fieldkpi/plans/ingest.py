@@ -1250,7 +1250,6 @@ def _(d: Domain) -> DataFrame:
         table,
         ["user_id"],
         modified="modified_on",
-        lookback="40 days",
         checkpoint=new_folder(d.spark, "stream-upsert"),
     )
     return tables.current(d.spark, table)

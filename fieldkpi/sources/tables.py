@@ -156,15 +156,31 @@ def upsert_days(
     *,
     keep_newer: bool = False,
 ) -> None:
-    """Upsert into a day-partitioned table whose day never changes for a key.
+    """Upsert into a day-partitioned table; rows without a day are a partition of their own.
 
-    Only the days of the batch are read and rewritten; the semi join prunes the other
-    partitions when the query runs.  Files are swapped when the write commits.
+    Rewritten are the days of the batch and the days where the table has its keys, so a
+    key whose day moves is not left behind.  To find those only the key and day columns
+    of the table are read; the semi join prunes the other partitions when the query
+    runs.  Files are swapped when the write commits; days left without a row go last, and
+    a rerun after a loss in between removes them.
     """
+    table = spark.read.parquet(path)
     days = with_day(batch, column)
-    touched = spark.read.parquet(path).join(days.select(DAY).distinct(), DAY, "left_semi")
+    held = table.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(DAY)
+    wanted = days.select(DAY).unionByName(held).distinct().withColumnRenamed(DAY, "_wanted")
+    touched = table.join(wanted, table[DAY].eqNullSafe(wanted["_wanted"]), "left_semi")
     merged = upsert(touched, days, keys, order, keep_newer=keep_newer)
+    left = with_day(merged, column).select(F.col(DAY).alias("_left")).distinct()
+    emptied = touched.select(DAY).distinct().join(left, F.col(DAY).eqNullSafe(left["_left"]), "left_anti").collect()
     write_by_day(merged, path, column, mode="overwrite")
+    for row in emptied:
+        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0].isoformat()
+        _drop(spark, f"{path}/{DAY}={name}")
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def replace_range(
@@ -183,9 +199,10 @@ def replace_days(batch: DataFrame, path: str, column: str) -> None:
 def refresh_last_days(
     materialized: DataFrame, view: DataFrame, column: str, as_of: str, days: int = 7
 ) -> DataFrame:
-    """Keep the table's older days, take the last ``days`` from the view."""
+    """Keep the table's older days and its rows without a date, take the last ``days`` from the view."""
     since = F.date_sub(F.lit(as_of).cast("date"), days)
-    return materialized.where(F.col(column) < since).unionByName(view.where(F.col(column) >= since))
+    kept = materialized.where((F.col(column) < since) | F.col(column).isNull())
+    return kept.unionByName(view.where(F.col(column) >= since))
 
 
 def append_snapshot(snapshots: DataFrame | None, view: DataFrame, as_of: str) -> DataFrame:
@@ -193,7 +210,7 @@ def append_snapshot(snapshots: DataFrame | None, view: DataFrame, as_of: str) ->
     stamped = view.select(F.lit(as_of).cast("date").alias("snapshot_date"), "*")
     if snapshots is None:
         return stamped
-    kept = snapshots.where(F.col("snapshot_date") != F.lit(as_of).cast("date"))
+    kept = snapshots.where(~F.col("snapshot_date").eqNullSafe(F.lit(as_of).cast("date")))
     return kept.unionByName(stamped, allowMissingColumns=True)
 
 

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkpi.operators.dedupe import dedupe_latest
 from fieldkpi.sources import tables
 
 
@@ -25,48 +24,33 @@ def stream_upsert(
     keys: Sequence[str],
     *,
     modified: str,
-    lookback: str,
     checkpoint: str,
     day_column: str | None = None,
 ) -> None:
     """Keep a table at the newest version of each key, from a stream of versions.
 
-    A version is deduped by key and change time, so a later change of a key is not
-    lost; the state of that dedupe ends with the watermark.  Each batch is upserted,
-    and a row older than the table's is ignored, so replaying a batch changes nothing.
+    Each batch is upserted, and a row older than the table's is ignored, so replaying a
+    batch changes nothing and the first row of a key counts, however late.  The table is
+    the only state.  Rows without a key are added as they come, also by a replay.
 
-    With ``day_column``, a time that never changes for a key, the table is partitioned
-    by its day and a batch rewrites only the days it touches: the way for large tables.
-    Without it each batch publishes a new version of the whole table.
+    With ``day_column`` the table is partitioned by its day and a batch rewrites only the
+    days it touches: the way for large tables.  Without it each batch publishes a new
+    version of the whole table.
     """
     spark = stream.sparkSession
-    versions = (
-        stream.withColumn("_event_time", F.col(modified).cast("timestamp"))
-        .withWatermark("_event_time", lookback)
-        .dropDuplicatesWithinWatermark([*keys, "_event_time"])
-        .drop("_event_time")
-    )
 
     def merge(batch: DataFrame, _: int) -> None:
         if batch.isEmpty():
             return
-        batch = batch.persist()
         newest = [F.col(modified).desc_nulls_last()]
-        if day_column is not None:
-            if _exists(spark, table):
-                tables.upsert_days(spark, table, batch, keys, newest, day_column, keep_newer=True)
-            else:
-                tables.write_by_day(dedupe_latest(batch, keys, newest), table, day_column)
-        elif _exists(spark, f"{table}/versions"):
-            old = tables.current(spark, table)
-            merged = tables.upsert(old, batch, keys, newest, keep_newer=True)
-            tables.publish(merged, table, mode="upsert")
-        else:
-            tables.publish(dedupe_latest(batch, keys, newest), table)
-        batch.unpersist()
+        batch = batch.persist()
+        try:
+            _merged(spark, batch, table, keys, newest, day_column)
+        finally:
+            batch.unpersist()
 
     query = (
-        versions.writeStream.foreachBatch(merge)
+        stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -74,6 +58,24 @@ def stream_upsert(
     query.awaitTermination()
 
 
+def _merged(spark, batch, table, keys, newest, day_column) -> None:
+    if day_column is not None:
+        if _exists(spark, table):
+            tables.upsert_days(spark, table, batch, keys, newest, day_column, keep_newer=True)
+        else:
+            tables.write_by_day(_first_rows(batch, keys, newest), table, day_column)
+    elif _exists(spark, f"{table}/versions"):
+        old = tables.current(spark, table)
+        tables.publish(tables.upsert(old, batch, keys, newest, keep_newer=True), table, mode="upsert")
+    else:
+        tables.publish(_first_rows(batch, keys, newest), table)
+
+
+def _first_rows(batch: DataFrame, keys: Sequence[str], newest: list) -> DataFrame:
+    """The first batch into a table; like any other it keeps all rows without a key."""
+    return tables.upsert(batch.limit(0), batch, keys, newest)
+
+
 def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

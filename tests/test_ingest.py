@@ -51,6 +51,32 @@ def test_upsert_days_rewrites_only_touched_days(spark, frame, tmp_path):
     assert got == {1: "a", 2: "c", 3: "d"} and before == after
 
 
+def test_upsert_days_keeps_rows_without_a_day(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_by_day(frame(VERSIONS, [(1, None, "a"), (2, None, "b"), (3, "2025-01-01", "c")]), path, "at")
+    tables.upsert_days(spark, path, frame(VERSIONS, [(2, None, "new"), (4, None, "d")]), ["id"], dedupe.newest("at"), "at")
+    assert {r["id"]: r["note"] for r in rows(spark.read.parquet(path))} == {1: "a", 2: "new", 3: "c", 4: "d"}
+
+
+def test_upsert_days_moves_a_key_to_its_new_day(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    first = [(1, "2025-01-01", "a"), (2, "2025-01-02", "b"), (3, "2025-01-02", "c"), (4, None, "d")]
+    tables.write_by_day(frame(VERSIONS, first), path, "at")
+    batch = frame(VERSIONS, [(1, "2025-02-01", "moved"), (2, "2025-02-01", "moved"), (4, "2025-02-03", "moved")])
+    for _ in range(2):
+        tables.upsert_days(spark, path, batch, ["id"], dedupe.newest("at"), "at")
+        got = sorted((r["id"], str(r["day"]), r["note"]) for r in rows(spark.read.parquet(path)))
+        assert got == [(1, "2025-02-01", "moved"), (2, "2025-02-01", "moved"), (3, "2025-01-02", "c"), (4, "2025-02-03", "moved")]
+
+
+def test_refresh_and_snapshot_keep_rows_without_a_date(frame):
+    old = frame("day date, n bigint", [(None, 1)]).unionByName(frame("n bigint", [(2,)]).selectExpr("DATE'2025-01-01' AS day", "n"))
+    view = frame("n bigint", [(3,)]).selectExpr("DATE'2025-01-30' AS day", "n")
+    assert sorted(r["n"] for r in rows(tables.refresh_last_days(old, view, "day", "2025-01-31"))) == [1, 2, 3]
+    shots = old.withColumnRenamed("day", "snapshot_date")
+    assert sorted(r["n"] for r in rows(tables.append_snapshot(shots, frame("n bigint", [(9,)]), "2025-01-31"))) == [1, 2, 9]
+
+
 def test_replace_range_includes_both_days(frame):
     target = frame(VERSIONS, [(1, "2025-01-01 23:59:59", "a"), (2, "2025-01-02", "b"), (3, "2025-01-03 23:00:00", "c"), (4, "2025-01-04", "d"), (5, None, "e")])
     out = tables.replace_range(target, frame(VERSIONS, [(9, "2025-01-02", "n")]), "at", "2025-01-02", "2025-01-03")
@@ -222,7 +248,24 @@ def test_stream_upsert_equals_batch(spark, frame, tmp_path, day_column):
     for i, data in enumerate(batches):
         frame(schema, data).coalesce(1).write.mode("append").parquet(source)
         stream = streams.read_landed(spark, source, schema, files_per_batch=1)
-        streams.stream_upsert(stream, table, ["id"], modified="at", lookback="10 days",
+        streams.stream_upsert(stream, table, ["id"], modified="at",
                               checkpoint=str(tmp_path / "cp"), day_column=day_column)
     out = tables.current(spark, table) if day_column is None else spark.read.parquet(table)
     assert {r["id"]: r["note"] for r in rows(out)} == {1: "c", 2: "b"}
+
+
+@pytest.mark.parametrize("day_column", [None, "made", "at"])
+def test_stream_upsert_keeps_late_new_keys(spark, frame, tmp_path, day_column):
+    schema = "id bigint, made timestamp_ntz, at timestamp_ntz, note string"
+    source, table = str(tmp_path / "in"), str(tmp_path / "table")
+    batches = [
+        [(1, "2025-06-01", "2025-06-01", "a"), (2, "2025-06-01", "2025-06-01", "b")],
+        [(1, "2025-06-01", "2025-06-20", "newer")],
+        [(9, "2025-01-01", "2025-01-01", "months late"), (2, "2025-06-01", "2025-05-01", "older")],
+    ]
+    for data in batches:
+        frame(schema, data).coalesce(1).write.mode("append").parquet(source)
+        stream = streams.read_landed(spark, source, schema, files_per_batch=1)
+        streams.stream_upsert(stream, table, ["id"], modified="at", checkpoint=str(tmp_path / "cp"), day_column=day_column)
+    out = tables.current(spark, table) if day_column is None else spark.read.parquet(table)
+    assert sorted((r["id"], r["note"]) for r in rows(out)) == [(1, "newer"), (2, "b"), (9, "months late")]

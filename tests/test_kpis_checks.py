@@ -190,3 +190,9 @@ def test_markets_join_both_sides(frame):
     made = frame("business_unit string, produced double", [("x-Production", 5.0), ("z-Production", 6.0)])
     got = by(reconcile.by_market([sales, made]), "market")
     assert set(got) == {"x", "y", "z"} and got["x"] == {"market": "x", "leads": 1, "produced": 5.0}
+
+
+def test_fan_out_of_one_hot_job_does_not_overflow(spark):
+    children = [(spark.range(60_000).selectExpr("1L AS job_id", f"CAST(1 AS decimal(18,4)) AS c{i}"), f"c{i}") for i in range(4)]
+    got = rows(reconcile.fan_out_totals(children, spark.range(1, 2)))[0]
+    assert got["true_c0"] == 60_000 and got["joined_c0"] == 60_000.0**4
