@@ -94,11 +94,10 @@ def _(d: Domain) -> DataFrame:
         " named_struct('name', 'Status', 'label', 'Status')) AS fields",
         f"array(array({cells}, NULL), array({cells}, o_orderstatus)) AS data",
     ).write.json(folder)
-    named = readers.read_report(d.spark, folder).select(readers.named_row().alias("r"))
-    return named.select(
-        F.col("r")["Job #"].cast("bigint").alias("job_number"),
-        F.col("r")["Total Sales"].cast("double").alias("total_sales"),
-        F.col("r")["Status"].alias("status"),
+    return readers.read_report(d.spark, folder).select(
+        readers.row_field(["Job #", "Job Number"], 0).cast("bigint").alias("job_number"),
+        readers.row_field(["Total Sales"], 1).cast("double").alias("total_sales"),
+        readers.row_field(["Status"], 2).alias("status"),
     )
 
 

@@ -38,6 +38,16 @@ def named_row(columns: str | Column = "columns", row: str | Column = "row") -> C
     )
 
 
+def row_field(names: list[str], position: int, columns: str | Column = "columns", row: str | Column = "row") -> Column:
+    """A field of a report row: by its names in turn, then by its position (from 0); empty cells count as absent.
+
+    The names of a row that is shorter or longer than the column list are not known; its position is.
+    """
+    r = F.col(row) if isinstance(row, str) else row
+    named = named_row(columns, row)
+    return F.coalesce(*[F.nullif(named[n], F.lit("")) for n in names], F.get(r, F.lit(position)))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """An export with a header line; cells that do not fit the schema become null."""
     return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")

@@ -123,6 +123,14 @@ def test_report_rows_by_name_need_matching_lengths(spark, tmp_path):
     assert [r["r"] for r in got] == [{"A": "1", "B": "2"}, {}]
 
 
+def test_report_fields_fall_back_to_the_position(spark, tmp_path):
+    (tmp_path / "r.json").write_text(
+        '{"fields":[{"name":"Old"},{"name":"B"}],"data":[["1","2"],["3"],["4","5","6"],["","7"],[]]}\n', encoding="utf-8")
+    report = readers.read_report(spark, str(tmp_path))
+    got = rows(report.select(readers.row_field(["New", "Old"], 0).alias("a"), readers.row_field(["B"], 1).alias("b")))
+    assert [(r["a"], r["b"]) for r in got] == [("1", "2"), ("3", None), ("4", "5"), ("", "7"), (None, None)]
+
+
 def test_pages_flatten_nested_fields(spark, tmp_path):
     (tmp_path / "p.json").write_text(
         '{"page":1,"data":[{"id":1,"category":{"id":5,"name":"Web"},"createdOn":"2025-01-01T10:00:00Z"},'
