@@ -167,4 +167,4 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
         return batch.filter(pa.array(s >= threshold)).select(range(batch.num_columns - 1))
 
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return frames.per_batch(docs.select("*", F.col("text").cast("string").alias("_judged")), keep, fields)
+    return frames.per_batch(docs.select("*", F.col("text").cast("string").alias(frames.spare(docs)[0])), keep, fields)

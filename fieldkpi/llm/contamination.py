@@ -125,7 +125,8 @@ def _finder(spark: SparkSession, items: Items, width: int, least: float):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: float = SIMILARITY, most: int = BLOCK_SHINGLES) -> DataFrame:
-    """The documents that hold no test item, as they are."""
+    """The documents that hold no test item, as they are, whatever other columns they have."""
+    searched = frames.spare(docs)[0]
     fields = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
     for items in blocks(benchmark, width, least, most):
         sent = docs.sparkSession.sparkContext.broadcast(items)
@@ -136,5 +137,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, least: floa
                 stays[[f[0] for f in search(part, sent.value, width, least)]] = False
             return batch.select(range(batch.num_columns - 1)).filter(pa.array(stays))
 
-        docs = frames.per_batch(docs.select("*", F.col("text").cast("string").alias("_searched")), keep, fields)
+        docs = frames.per_batch(docs.select("*", F.col("text").cast("string").alias(searched)), keep, fields)
     return docs

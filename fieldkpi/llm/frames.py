@@ -41,6 +41,40 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def spare(df: DataFrame, n: int = 1) -> list[str]:
+    """n column names that the frame does not have, in any spelling."""
+    most = max(map(len, df.columns), default=0)
+    return ["_" * (most + 1 + i) for i in range(n)]
+
+
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    """The documents with a number of their own for every row that has an id, in column ``key`` (null without an id).
+
+    An id that occurs once is its row's number.  Of rows that share an id one takes it, the others get numbers that are
+    no document's id, above the greatest or below the least.  Only rows that share an id are written, so that the
+    numbers stay the same when a lost executor's work is done again.
+    """
+    id_ = F.col("doc_id").cast("long")
+    again, low, high = spare(docs.withColumn(key, F.lit(0)), 3)
+    shared = written(docs.select(id_.alias(again)).where(F.col(again).isNotNull()).groupBy(again).agg(F.count("*").alias(low)).where(F.col(low) > 1).select(again), "shared-ids")
+    if shared.isEmpty():
+        return docs.withColumn(key, id_)
+    single = docs.join(shared, id_ == F.col(again), "left_anti").withColumn(key, id_)
+    several = docs.join(shared, id_ == F.col(again), "left_semi").withColumn(again, F.monotonically_increasing_id())
+    several = written(several, "shared-id-rows")
+    least, greatest = docs.agg(F.min(id_), F.max(id_)).first()
+    most = several.agg(F.max(again)).first()[0] + 1
+    if greatest + most < 1 << 63:
+        number = F.lit(greatest) + 1 + F.col(again)
+    elif least - most >= -(1 << 63):
+        number = F.lit(least) - 1 - F.col(again)
+    else:
+        raise OverflowError("rows share an id, and the ids leave no room for further numbers")
+    first = written(several.groupBy(id_.alias(low)).agg(F.min(again).alias(high)), "first-rows")
+    numbered = several.join(first, (id_ == F.col(low)) & (F.col(again) == F.col(high)), "left").withColumn(key, F.coalesce(low, number))
+    return single.unionByName(numbered.select(*[F.col(f"`{c}`") for c in docs.columns], key))
+
+
 def per_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``function`` on every Arrow batch; it may return fewer or more rows."""
 

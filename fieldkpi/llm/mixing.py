@@ -166,8 +166,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most_repe
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The documents themselves, each as often as the mix takes it."""
-    plan = mix(docs, **options).select(F.col("doc_id").alias("_id"), "repeats").groupBy("_id").agg(F.sum("repeats").alias("times"), F.count("*").alias("rows"))
-    copies = F.expr("explode(sequence(1L, CAST(times DIV rows AS long)))")
-    kept = docs.join(plan, F.col("doc_id").cast("long") == F.col("_id")).where("times >= rows")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], copies.alias("_copy")).drop("_copy")
+    """The documents themselves, each as often as the mix takes it, whatever other columns they have."""
+    key, times, rows, copy = frames.spare(docs, 4)
+    plan = mix(docs, **options).groupBy(F.col("doc_id").alias(key)).agg(F.sum("repeats").alias(times), F.count("*").alias(rows))
+    kept = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col(key))).where(F.col(times) >= F.col(rows))
+    each = F.explode(F.sequence(F.lit(1), F.floor(F.col(times) / F.col(rows)))).alias(copy)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns], each).drop(copy)

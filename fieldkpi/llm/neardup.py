@@ -289,15 +289,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, as it is: the one with the smallest id; of rows that share that id, one stays.
+    """One document of each group, as it is: the one with the smallest id.
 
-    Rows with a null id stay.
+    Judged are rows, not ids: of rows that share an id each is a document of its own, and goes only if its own text
+    is linked to one that stays.  Rows with a null id, and rows without words, stay.  Other columns are kept,
+    whatever their names; an empty table gives no rows.
     """
-    judged = near_duplicates(docs, width, percent)
-    own = judged.groupBy(F.col("doc_id").alias("_id")).agg(F.min("kept").alias("_kept"), F.count("*").alias("_rows"))
-    own = frames.written(own.where("_id IS NOT NULL AND (NOT _kept OR _rows > 1)"), "not-alone")
-    id_ = docs["doc_id"].cast("long")
-    single = docs.join(own, id_ == own["_id"], "left_anti")
-    first = own.where("_kept")
-    several = docs.join(first, id_ == first["_id"], "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(several)
+    key, gone = frames.spare(docs, 2)
+    rows = frames.keyed(docs, key)
+    judged = near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), width, percent)
+    lost = frames.written(judged.where(~F.col("kept")).select(F.col("doc_id").alias(gone)), "not-kept")
+    return rows.join(lost, F.col(key) == F.col(gone), "left_anti").drop(key)
