@@ -10,8 +10,8 @@ import codecs
 import heapq
 import re
 import struct
-from collections.abc import Iterable, Iterator
-from itertools import pairwise
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +26,12 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 REPLACEMENT = "�"
 
-#: Segments whose pieces a worker remembers, and the longest one that it does.
-REMEMBERED, LONGEST_REMEMBERED = 1 << 18, 64
-#: Characters of a segment up to which all its pairs are looked at.
-SHORT = 40
-NEVER = float("-inf")
+#: Segments whose pieces a worker remembers from one part of its texts to the next.
+REMEMBERED = 1 << 18
+#: Characters of a segment up to which it is merged together with others.
+SHORT = 64
+#: Symbols from here on are code points that no piece has.
+ALIEN = 1 << 22
 ENCODED = "doc_id long, ids binary, starts binary, ends binary"
 
 codecs.register_error("fieldkpi-each-byte", lambda e: (REPLACEMENT * (e.end - e.start), e.end))
@@ -216,10 +217,17 @@ class Model:
         apart = all(SPACE not in p.lstrip(SPACE) for p in self.ids)
         self.segments = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+" if apart else "(?s).+")
         self.surfaces = [self._surface(i) for i in range(len(self.pieces))]
-        self._known: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
+        self.sizes = np.array([1 if k == BYTE else len(p.encode()) for p, k in zip(self.pieces, self.kinds, strict=True)], np.int64)
+        self.controls = np.array([k == CONTROL for k in self.kinds])
+        #: Where a known segment's ids begin and how many there are, by the segment's number.
+        self._known: dict[str, int] = {}
+        self._ids = self._begins = self._counts = np.zeros(0, np.int64)
+        self._tables = None
+        self.letters: dict[int, str] = {}
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}}
+        none = np.zeros(0, np.int64)
+        return self.__dict__ | {"_known": {}, "_ids": none, "_begins": none, "_counts": none, "_tables": None}
 
     def _surface(self, i: int) -> bytes:
         kind, piece = self.kinds[i], self.pieces[i]
@@ -229,8 +237,6 @@ class Model:
 
     def merged(self, segment: str) -> list[str]:
         """The segment's pieces: of all neighbours whose union is a piece the best are joined first, the leftmost of equals."""
-        if self.plain and len(segment) <= SHORT:
-            return self._merged_short(segment)
         if self.symbols:
             own = [(m.start(), m.end()) for m in self.symbols.finditer(segment)]
             cuts, at = [], 0
@@ -273,65 +279,163 @@ class Model:
 
         return [q for p in parts if p for q in used(p)] if halves else [p for p in parts if p]
 
-    def _merged_short(self, segment: str) -> list[str]:
-        """The same without a queue: for few characters the best pair is sooner found by looking at all."""
-        parts, score = list(segment), self.plain.get
-        pairs = [score(a + b, NEVER) for a, b in pairwise(parts)]
-        while pairs:
-            best = max(pairs)
-            if best == NEVER:
-                break
-            k = pairs.index(best)
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-            del pairs[k]
-            if k:
-                pairs[k - 1] = score(parts[k - 1] + parts[k], NEVER)
-            if k < len(pairs):
-                pairs[k] = score(parts[k] + parts[k + 1], NEVER)
-        return parts
-
-    def _segment(self, segment: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
-        """Ids, and how many normalised bytes each covers."""
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All unions of two symbols that are pieces, in the order of left * 2 ** 32 + right: that key, the piece, and its
+        place among the scores, the best first.  And the symbol of each character, -1 for those that no piece has.
+
+        Symbols are pieces, and behind them the characters that only longer pieces have.
+        """
+        symbols = dict(self.ids)
+        for c in sorted({c for piece in self.ids for c in piece}.difference(self.ids)):
+            symbols[c] = len(self.pieces) + len(symbols)
+            self.letters[symbols[c]] = c
+        halves = [(symbols[p[:k]], symbols[p[k:]], i) for p, i in self.ids.items() for k in range(1, len(p)) if p[:k] in symbols and p[k:] in symbols]
+        left, right, union = np.array(halves or [(0, 0, 0)], np.int64)[: len(halves)].T
+        keys = (left << 32) + right
+        order = np.argsort(keys)
+        places = np.unique(-np.array(self.scores), return_inverse=True)[1]
+        of = np.full(0x110000, -1, np.int64)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                of[ord(c)] = i
+        return keys[order], union[order], places[union[order]], of
+
+    def _merge_all(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of many segments one after the other, and how many each has; all are one join further in each turn.
+
+        A character that no piece has is ALIEN and its code point.
+        """
+        if self._tables is None:
+            self._tables = self._pairs()
+        keys, unions, places, of = self._tables
+        never = len(self.pieces) + 1
+        letters = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        symbol = of[letters]
+        symbol = np.where(symbol < 0, ALIEN + letters, symbol)
+        segment = np.repeat(np.arange(len(segments)), [len(s) for s in segments])
+
+        def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Place of the union of each symbol with the next one of its segment, and the union."""
+            place, union = np.full(len(at), never), np.zeros(len(at), np.int64)
+            inner = np.flatnonzero(at + 1 < len(symbol))
+            inner = inner[segment[at[inner]] == segment[at[inner] + 1]]
+            key = (symbol[at[inner]] << 32) + symbol[at[inner] + 1]
+            found = np.minimum(np.searchsorted(keys, key), max(0, len(keys) - 1))
+            hit = np.flatnonzero(keys[found] == key) if len(keys) else np.zeros(0, np.int64)
+            place[inner[hit]], union[inner[hit]] = places[found[hit]], unions[found[hit]]
+            return place, union
+
+        place, union = look(np.arange(len(symbol)))
+        done = [(segment[:0], symbol[:0])]
+        while len(symbol):
+            first = np.flatnonzero(np.diff(segment, prepend=-1))
+            best = np.minimum.reduceat(place, first)
+            best = np.repeat(best, np.diff(first, append=len(symbol)))
+            left = best < never
+            if not left.all():
+                done.append((segment[~left], symbol[~left]))
+                symbol, segment, place, union, best = symbol[left], segment[left], place[left], union[left], best[left]
+            at = np.flatnonzero(place == best)
+            at = at[np.diff(segment[at], prepend=-1) != 0]  # the leftmost of each segment
+            symbol[at] = union[at]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            at -= np.arange(len(at))  # where they are when the others are gone
+            symbol, segment, place, union = symbol[keep], segment[keep], place[keep], union[keep]
+            for changed in (at, np.maximum(at - 1, 0)):
+                place[changed], union[changed] = look(changed)
+        segment, symbol = (np.concatenate(parts) for parts in zip(*done, strict=True))
+        order = np.argsort(segment, kind="stable")
+        return symbol[order], np.bincount(segment, minlength=len(segments))
+
+    def _spelled(self, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in place of symbols that are no piece: their bytes, or unknown, where unknown neighbours are one."""
+        odd = np.flatnonzero(symbols >= len(self.pieces))
+        if not len(odd):
+            return symbols, counts
+        letters = {s: chr(s - ALIEN) if s >= ALIEN else self.letters[s] for s in np.unique(symbols[odd]).tolist()}
+        if self.bytes:
+            spelled = {s: [self.bytes[b] for b in c.encode()] for s, c in letters.items()}
+        else:
+            spelled = dict.fromkeys(letters, [self.unknown])
+        lists = [spelled[s] for s in symbols[odd].tolist()]
+        size = np.ones(len(symbols), np.int64)
+        size[odd] = [len(x) for x in lists]
+        owner = np.repeat(np.repeat(np.arange(len(counts)), counts), size)
+        ids = np.repeat(symbols, size)
+        ids[np.repeat(symbols >= len(self.pieces), size)] = list(chain.from_iterable(lists))
+        if not self.bytes:
+            keep = np.ones(len(ids), bool)
+            keep[1:] = (ids[1:] != self.unknown) | (ids[:-1] != self.unknown) | (owner[1:] != owner[:-1])
+            ids, owner = ids[keep], owner[keep]
+        return ids, np.bincount(owner, minlength=len(counts))
+
+    def _learn(self, segments: set[str]) -> None:
+        """Take up the ids of segments that are not known yet."""
+        new = segments.difference(self._known)
+        if len(self._known) + len(new) > REMEMBERED:
+            self._known.clear()
+            self._ids, self._begins, self._counts = (np.zeros(0, np.int64),) * 3
+            new = segments
+        short = [s for s in new if len(s) <= SHORT] if self.plain else []
+        parts = [self._spelled(*self._merge_all(short))]
+        order = short
+        for segment in new.difference(short):
+            ids = self._segment(segment)
+            parts.append((np.array(ids, np.int64), np.array([len(ids)])))
+            order.append(segment)
+        counts = np.concatenate([p[1] for p in parts])
+        begins = len(self._ids) + text.exclusive(counts) if len(counts) else counts
+        self._known.update(zip(order, range(len(self._counts), len(self._counts) + len(order)), strict=True))
+        self._ids = np.concatenate([self._ids, *[p[0] for p in parts]])
+        self._begins, self._counts = np.concatenate([self._begins, begins]), np.concatenate([self._counts, counts])
+
+    def _segment(self, segment: str) -> list[int]:
+        """Ids; unknown neighbours are one where the model has no byte pieces."""
         ids: list[int] = []
-        sizes: list[int] = []
         for piece in self.merged(segment):
             i = self.reserved.get(piece, self.ids.get(piece, self.unknown))
-            own = piece.encode()
-            if i != self.unknown:
-                ids.append(i)
-                sizes.append(len(own))
-            elif self.bytes:
-                ids += [self.bytes[b] for b in own]
-                sizes += [1] * len(own)
-            elif ids and ids[-1] == i:  # unknown neighbours are one
-                sizes[-1] += len(own)
-            else:
+            if i == self.unknown and self.bytes:
+                ids += [self.bytes[b] for b in piece.encode()]
+            elif i != self.unknown or ids[-1:] != [i]:
                 ids.append(i)
-                sizes.append(len(own))
-        out = tuple(ids), tuple(sizes)
-        if len(segment) <= LONGEST_REMEMBERED:
-            if len(self._known) >= REMEMBERED:
-                self._known.clear()
-            self._known[segment] = out
+        return ids
+
+    def _covered(self, normal: str, ids: np.ndarray) -> np.ndarray:
+        """How many normalised bytes each id covers."""
+        sizes = self.sizes[ids]
+        if not self.bytes and (ids == self.unknown).any():
+            body, at = normal.encode(), 0
+            for k, i in enumerate(ids.tolist()):
+                if i == self.unknown:  # up to where the rest begins
+                    after = self.pieces[ids[k + 1]].encode() if k + 1 < len(ids) else None
+                    sizes[k] = (body.index(after, at + 1) if after else len(body)) - at
+                at += int(sizes[k])
+        return sizes
+
+    def encode_all(self, raws: Sequence[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each text the ids with begin and end ids, and the original bytes [start, end) of each; those two cover nothing."""
+        normal = [self.normalise(raw) for raw in raws]
+        segments = [self.segments.findall(n) for n, _ in normal]
+        joined = list(chain.from_iterable(segments))
+        self._learn(set(joined))
+        at = np.fromiter(map(self._known.__getitem__, joined), np.int64, len(joined))
+        counts = self._counts[at]
+        every = self._ids[np.repeat(self._begins[at] - text.exclusive(counts), counts) + np.arange(counts.sum())] if len(at) else at
+        cuts = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, segments)])]
+        out = []
+        for raw, (form, origin), a, b in zip(raws, normal, cuts[:-1], cuts[1:], strict=True):
+            ids = every[a:b]
+            bounds = np.zeros(len(ids) + 1, np.int64)
+            np.cumsum(self._covered(form, ids), out=bounds[1:])
+            at = origin[bounds]
+            packed = np.concatenate([[self.bos], ids, [self.eos]]).astype(np.uint32)
+            starts, ends = np.concatenate([[0], at[:-1], [len(raw)]]), np.concatenate([[0], at[1:], [len(raw)]])
+            out.append((packed, starts.astype(np.uint32), ends.astype(np.uint32)))
         return out
 
     def encode(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids with begin and end ids, and the original bytes [start, end) of each; those two cover nothing."""
-        normal, origin = self.normalise(raw)
-        ids: list[int] = []
-        sizes: list[int] = []
-        known = self._known
-        for segment in self.segments.findall(normal):
-            own, covered = known.get(segment) or self._segment(segment)
-            ids += own
-            sizes += covered
-        bounds = np.zeros(len(ids) + 1, np.int64)
-        np.cumsum(sizes, out=bounds[1:])
-        at = origin[bounds]
-        packed = np.empty(len(ids) + 2, np.uint32)
-        packed[0], packed[1:-1], packed[-1] = self.bos, ids, self.eos
-        ends = np.concatenate([[0], at[1:], [len(raw)]])
-        return packed, np.concatenate([[0], at[:-1], [len(raw)]]).astype(np.uint32), ends.astype(np.uint32)
+        return self.encode_all([raw])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no character become replacement characters, one by one."""
@@ -345,7 +449,9 @@ class Model:
                     break
             elif surfaces[k]:
                 break
-        return b"".join(surfaces).decode("utf-8", "fieldkpi-each-byte")
+        # bytes on both sides of a control piece are no character together
+        cuts = [-1, *np.flatnonzero(self.controls[ids]).tolist(), len(listed)]
+        return "".join(b"".join(surfaces[a + 1 : b]).decode("utf-8", "fieldkpi-each-byte") for a, b in pairwise(cuts))
 
 
 def load(path: str) -> Model:
@@ -362,18 +468,27 @@ def encoded(docs: DataFrame, model: Model) -> DataFrame:
     alone.  Null ids stay null, repeated rows each give a row, an empty table gives none; other columns are ignored.
     Nothing is shuffled; a worker holds a few MB of texts, or one document, at a time.
     """
+    return _encoded(docs, model, False)
+
+
+def _encoded(docs: DataFrame, model: Model, again: bool) -> DataFrame:
+    """``encoded``, with ``again`` also the text that the ids decode to."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["doc_id", "ids", "starts", "ends", *(["text"] if again else [])]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
         for batch in batches:
             for part in text.slices(batch.column(1)):
                 body, ends = part.data.tobytes(), part.offsets.tolist()
-                rows = [held.encode(body[a:b]) for a, b in pairwise(ends)]
+                rows = held.encode_all([body[a:b] for a, b in pairwise(ends)])
                 columns = [pa.array([r[k].astype("<u4", copy=False).tobytes() for r in rows], pa.binary()) for k in range(3)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(rows)), *columns], ["doc_id", "ids", "starts", "ends"])
+                if again:
+                    columns.append(pa.array([held.decode(r[0]) for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(rows)), *columns], names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary")).mapInArrow(run, ENCODED)
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary"))
+    return rows.mapInArrow(run, ENCODED + (", text string" if again else ""))
 
 
 def decoded(rows: DataFrame, model: Model) -> DataFrame:
@@ -409,8 +524,7 @@ def spans(rows: DataFrame, model: Model) -> DataFrame:
 
 def digests(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document, encoded and decoded again."""
-    both = decoded(encoded(docs, model), model)
-    return both.select(
+    return _encoded(docs, model, True).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )

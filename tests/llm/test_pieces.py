@@ -49,14 +49,13 @@ def test_any_ids_are_decoded_like_the_library(model, library):
         assert model.decode(np.array(ids, np.int64)) == library.decode(ids)
 
 
-def test_short_and_long_segments_are_merged_alike(model):
-    for value in drawn(400, 40):
-        segment = value.replace(" ", "▁")
-        plain = model.plain
-        short = model.merged(segment)
-        model.plain = {}
-        assert model.merged(segment) == short
-        model.plain = plain
+def test_segments_are_merged_together_as_one_by_one(model):
+    segments = sorted({"▁" + w for value in drawn(3000, 40) for w in value.split(" ") if w})
+    ids, counts = model._spelled(*model._merge_all(segments))
+    together = np.split(ids, np.cumsum(counts)[:-1])
+    for segment, own in zip(segments, together, strict=True):
+        assert own.tolist() == model._segment(segment)
+    assert len(model._merge_all([])[0]) == 0
 
 
 @pytest.mark.parametrize("rule", ["identity", "nfkc", "nmt_nfkc", "nmt_nfkc_cf"])
