@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -583,17 +584,18 @@ def report_future_bookings(
 
 
 def refresh_all(named: dict[str, Callable[[], DataFrame]], folder: str) -> list[dict[str, object]]:
-    """Rebuild marts one after the other; a failing mart is reported, the rest go on.
+    """Rebuild marts one after the other; a failing mart is reported with its message, the rest go on.
 
-    Each mart is one Spark job; only its row count comes back.
+    Each mart is one Spark job; only its row count and the seconds it took come back.
     """
     report = []
     for name, build in named.items():
+        began = time.monotonic()
         try:
             rows = build()
             version = tables.publish(rows, f"{folder}/{name}")
-            count = rows.sparkSession.read.parquet(version).count()
-            report.append({"mart": name, "status": "ok", "rows": count, "error": None})
+            outcome = {"status": "ok", "rows": rows.sparkSession.read.parquet(version).count(), "error": None}
         except Exception as error:  # noqa: BLE001
-            report.append({"mart": name, "status": "error", "rows": None, "error": type(error).__name__})
+            outcome = {"status": "error", "rows": None, "error": str(error).split("\n")[0] or type(error).__name__}
+        report.append({"mart": name, **outcome, "seconds": time.monotonic() - began})
     return report

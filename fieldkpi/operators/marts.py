@@ -18,6 +18,7 @@ from fieldkpi.functions.constants import (
 )
 from fieldkpi.functions.expr import (
     count_if,
+    day_range,
     dollars,
     ends_with,
     local_date,
@@ -339,15 +340,22 @@ def _next_day(day: date | str) -> date:
 # --- report-fed facts -----------------------------------------------------------
 
 
+def _dated(rows: DataFrame, day: str, unit: str) -> DataFrame:
+    """Rows without a day or a unit are in no fact."""
+    return rows.where(F.col(day).isNotNull() & F.col(unit).isNotNull())
+
+
 def report_leads_daily(leads: DataFrame) -> DataFrame:
-    return leads.groupBy(F.to_date("job_created_on").alias("kpi_date"), "bu_key").agg(
+    rows = _dated(leads, "job_created_on", "bu_key")
+    return rows.groupBy(F.to_date("job_created_on").alias("kpi_date"), "bu_key").agg(
         F.count("*").alias("leads")
     )
 
 
 def report_collections_daily(collections: DataFrame) -> DataFrame:
-    return collections.groupBy(F.to_date("payment_date").alias("kpi_date"), "business_unit").agg(
-        sum_money("amount").cast("double").alias("amount")
+    rows = _dated(collections, "payment_date", "business_unit")
+    return rows.groupBy(F.to_date("payment_date").alias("kpi_date"), "business_unit").agg(
+        dollars(sum_money("amount")).alias("amount")
     )
 
 
@@ -355,11 +363,11 @@ def report_sales_daily(sales: DataFrame) -> DataFrame:
     """From one row per seller and day; the rates are ratios of sums."""
     offered, closed = F.sum("sales_opportunities"), F.sum("closed_opportunities")
     total = sum_money("total_sales")
-    return sales.groupBy(F.col("event_date").alias("kpi_date"), "bu_name").agg(
+    return _dated(sales, "event_date", "bu_name").groupBy(F.col("event_date").alias("kpi_date"), "bu_name").agg(
         offered.alias("sales_opportunities"),
         closed.alias("closed_opportunities"),
         rounded(ratio(closed, offered), 4).alias("close_rate"),
-        total.cast("double").alias("total_sales"),
+        dollars(total).alias("total_sales"),
         rounded(ratio(total, closed)).alias("avg_closed_sale"),
     )
 
@@ -377,12 +385,14 @@ def report_sales_passthrough(consolidated: DataFrame) -> DataFrame:
 
 
 def report_job_cost_daily(job_cost: DataFrame) -> DataFrame:
+    """The margin is a percentage of the day's totals."""
     revenue, cost = sum_money("job_subtotal"), sum_money("job_total_costs")
-    return job_cost.groupBy(F.to_date("job_start").alias("kpi_date"), "bu_key").agg(
+    rows = _dated(job_cost, "job_start", "bu_key")
+    return rows.groupBy(F.to_date("job_start").alias("kpi_date"), "bu_key").agg(
         F.count("*").alias("jobs"),
-        revenue.cast("double").alias("job_subtotal"),
-        cost.cast("double").alias("job_total_costs"),
-        rounded(ratio(revenue - cost, revenue), 4).alias("gm_pct"),
+        dollars(revenue).alias("job_subtotal"),
+        dollars(cost).alias("job_total_costs"),
+        percent(revenue - cost, revenue).alias("gm_pct"),
     )
 
 
@@ -438,18 +448,22 @@ def close_rate_daily(
 
 
 def estimates_scheduled(
-    estimates: DataFrame, appointments: DataFrame, dim_jobs: DataFrame
+    estimates: DataFrame, appointments: DataFrame, dim_jobs: DataFrame, start: date | str, end: date | str
 ) -> DataFrame:
-    """Estimates whose job has an appointment, per unit; no appointment repeats a value."""
-    scheduled = dim_jobs.select(F.col("id").alias("job_id"), "business_unit").join(
-        appointments.select("job_id").distinct(), "job_id", "left_semi"
-    )
+    """Estimates made in the window (both days included) whose job has an appointment with a start, per unit.
+
+    Their value is the total, or the subtotal of those without one; no appointment repeats it.
+    """
+    planned = appointments.where(F.col("scheduled_start").isNotNull()).select("job_id").distinct()
+    scheduled = dim_jobs.select(F.col("id").alias("job_id"), "business_unit").join(planned, "job_id", "left_semi")
+    made = estimates.where(F.col("job_id").isNotNull() & day_range("created_on", start, end))
+    made = made.withColumn("value", F.coalesce("total", "subtotal"))
     return (
-        spread_join(estimates.where(F.col("job_id").isNotNull()), scheduled, "job_id")
+        spread_join(made, scheduled, "job_id")
         .groupBy("business_unit")
         .agg(
             F.countDistinct("id").alias("estimates_scheduled"),
-            sum_money("subtotal").cast("double").alias("estimate_value"),
+            sum_money("value").cast("double").alias("estimate_value"),
         )
     )
 

@@ -18,6 +18,7 @@ from fieldkpi.functions.parse import (
     parse_whole,
 )
 from fieldkpi.operators.dedupe import dedupe_latest
+from fieldkpi.sources.readers import row_field
 from fieldkpi.sources.schemas import ENTITIES, TYPES, Entity
 
 
@@ -93,6 +94,32 @@ def _text(row: str, position: int) -> Column:
     return F.nullif(_at(row, position), F.lit(""))
 
 
+class Cells:
+    """The cells of report rows: by column name where ``columns`` names the list of names, else by position.
+
+    ``filled`` takes the first name whose cell is not empty, ``given`` the first one that the row has; a row whose
+    length is not that of the list is read by position.
+    """
+
+    def __init__(self, row: str, columns: str | None):
+        self.row, self.columns = row, columns
+
+    def _cell(self, position: int | None, names: Sequence[str], blanks: bool) -> Column:
+        if self.columns is not None:
+            return row_field(names, position, self.columns, self.row, blanks=blanks)
+        return F.lit(None).cast("string") if position is None else _at(self.row, position)
+
+    def filled(self, position: int | None, *names: str) -> Column:
+        return self._cell(position, names, False)
+
+    def given(self, position: int | None, *names: str) -> Column:
+        return self._cell(position, names, True)
+
+
+def _full(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
 def _zero(c: Column) -> Column:
     return F.coalesce(c, F.lit(0)).cast("decimal(18,4)")
 
@@ -107,17 +134,21 @@ def leads_rows(
     unit: str | Column,
     *,
     row: str = "row",
+    columns: str | None = None,
     excluded_names: Sequence[str] = ("test",),
     fallback_created: Column | None = None,
     updated_on: Column | None = None,
 ) -> DataFrame:
     """Leads of the queried unit without test names, one row per job and unit.
 
-    Of several rows with one key the earliest created is kept.
+    Of several rows with one key the earliest created is kept.  Cells are found by name where ``columns`` has the
+    names; the creation time stands at a fixed place.
     """
+    cells = Cells(row, columns)
     unit_col = F.col(unit) if isinstance(unit, str) else unit
-    name = F.lower(F.coalesce(_at(row, 0), F.lit("")))
-    row_unit = _text(row, 6)
+    customer = cells.filled(0, "Customer name")
+    name = F.lower(F.coalesce(customer, F.lit("")))
+    row_unit = _full(cells.filled(6, "Business Unit", "Job Business Unit"))
     created = lenient_timestamp(_at(row, 8)).cast("timestamp_ntz")
     keep = row_unit.isNull() | (row_unit == unit_col)
     for token in excluded_names:
@@ -129,9 +160,9 @@ def leads_rows(
                 F.coalesce(row_unit, unit_col).alias("bu_key"),
                 F.coalesce(created, fallback).alias("job_created_on"),
                 created.alias("created_date"),
-                _text(row, 0).alias("customer_name"),
-                _text(row, 3).alias("job_type"),
-                F.coalesce(_at(row, 5), F.lit("")).alias("job_id"),
+                _full(customer).alias("customer_name"),
+                _full(cells.filled(3, "Job Type")).alias("job_type"),
+                F.coalesce(cells.filled(5, "Job #", "Job Number"), F.lit("")).alias("job_id"),
             ],
             row,
             updated_on,
@@ -141,17 +172,19 @@ def leads_rows(
 
 
 def collections_rows(
-    report: DataFrame, *, row: str = "row", updated_on: Column | None = None
+    report: DataFrame, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
-    """Payments; a missing unit is ``unknown``, a missing amount 0."""
+    """Payments; a missing unit is ``unknown``, a missing amount 0.  An empty cell under a known name stays empty."""
+    cells = Cells(row, columns)
+    unit = cells.given(7, "Invoice Business Unit", "Job Business Unit", "Business Unit")
     return report.select(
         *_stamped(
             [
-                F.coalesce(F.nullif(F.trim(_at(row, 7)), F.lit("")), F.lit("unknown")).alias("bu_key"),
-                lenient_timestamp(_at(row, 0)).cast("timestamp_ntz").alias("payment_date"),
-                _zero(parse_number(_at(row, 2))).alias("amount"),
-                F.coalesce(_at(row, 3), F.lit("")).alias("job_id"),
-                F.coalesce(F.abs(parse_number(_at(row, 8))) > 0.005, F.lit(False)).alias(
+                F.coalesce(_full(F.trim(unit)), F.lit("unknown")).alias("bu_key"),
+                lenient_timestamp(cells.given(0, "Paid On")).cast("timestamp_ntz").alias("payment_date"),
+                _zero(parse_number(cells.given(2, "Amount", "Payment Amount"))).alias("amount"),
+                F.coalesce(cells.given(3, "Invoice Number"), F.lit("")).alias("job_id"),
+                F.coalesce(F.abs(parse_number(cells.given(8, "Invoice Balance"))) > 0.005, F.lit(False)).alias(
                     "has_remaining_balance"
                 ),
             ],
@@ -219,19 +252,20 @@ def job_cost_rows(
 
 
 def daily_job_cost_rows(
-    report: DataFrame, *, row: str = "row", updated_on: Column | None = None
+    report: DataFrame, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
-    """The subset that the first-generation cost table keeps, rounded."""
+    """The subset that the first-generation cost table keeps, rounded; cells by name where ``columns`` has the names."""
+    job = _Job(Cells(row, columns))
     return report.select(
         *_stamped(
             [
-                F.coalesce(_text(row, 1), F.lit("unknown")).alias("bu_key"),
-                F.coalesce(_at(row, 6), F.lit("")).alias("job_id"),
-                lenient_timestamp(_at(row, 0)).cast("timestamp_ntz").alias("job_start"),
-                _text(row, 4).alias("job_type"),
-                _zero(parse_scaled(_at(row, 7), 2)).alias("job_subtotal"),
-                _zero(parse_scaled(_at(row, 12), 2)).alias("job_total_costs"),
-                _zero(parse_scaled(_at(row, 13), 4)).alias("job_gm_pct"),
+                job.unit.alias("bu_key"),
+                job.number.alias("job_id"),
+                job.scheduled.alias("job_start"),
+                job.kind.alias("job_type"),
+                job.subtotal.alias("job_subtotal"),
+                _zero(parse_scaled(job.cells.given(12, "Jobs Total Cost", "JobsTotalCost"), 2)).alias("job_total_costs"),
+                _zero(parse_scaled(job.cells.given(13, "Jobs Gross Margin %", "JobsGrossMarginPct"), 4)).alias("job_gm_pct"),
             ],
             row,
             updated_on,
@@ -239,13 +273,26 @@ def daily_job_cost_rows(
     )
 
 
-def future_booking_rows(report: DataFrame, as_of: Column, *, row: str = "row") -> DataFrame:
+class _Job:
+    """What the job-costing and the bookings report say of a job."""
+
+    def __init__(self, cells: Cells):
+        self.cells = cells
+        self.unit = F.coalesce(_full(cells.filled(1, "Business Unit")), F.lit("unknown"))
+        self.number = F.coalesce(cells.filled(6, "Job #", "Job Number"), F.lit(""))
+        self.scheduled = lenient_timestamp(cells.filled(0, "Scheduled Date", "ScheduledDate")).cast("timestamp_ntz")
+        self.kind = _full(cells.filled(4, "Job Type"))
+        self.subtotal = _zero(parse_scaled(cells.given(7, "Jobs Subtotal", "JobsSubtotal"), 2))
+
+
+def future_booking_rows(report: DataFrame, as_of: Column, *, row: str = "row", columns: str | None = None) -> DataFrame:
+    job = _Job(Cells(row, columns))
     return report.select(
-        F.coalesce(_text(row, 1), F.lit("unknown")).alias("bu_key"),
-        F.coalesce(_at(row, 6), F.lit("")).alias("job_id"),
-        lenient_timestamp(_at(row, 0)).cast("timestamp_ntz").alias("scheduled_date"),
-        _text(row, 4).alias("job_type"),
-        _zero(parse_scaled(_at(row, 7), 2)).alias("job_subtotal"),
+        job.unit.alias("bu_key"),
+        job.number.alias("job_id"),
+        job.scheduled.alias("scheduled_date"),
+        job.kind.alias("job_type"),
+        job.subtotal.alias("job_subtotal"),
         as_of.alias("as_of_date"),
         F.to_json(F.col(row)).alias("raw"),
     )
@@ -263,25 +310,32 @@ def sales_rows(
     event_date: Column,
     *,
     row: str = "row",
+    columns: str | None = None,
     updated_on: Column | None = None,
 ) -> DataFrame:
-    """One row per seller; average sale = total / booked where something was booked."""
+    """One row per seller; average sale = total / booked where something was booked.
+
+    Cells by name where ``columns`` has the names; such rows may also carry their own day.
+    """
+    cells = Cells(row, columns)
     unit_col = F.col(unit) if isinstance(unit, str) else unit
-    closed, completed = parse_whole(_at(row, 1)), parse_whole(_at(row, 2))
-    total = parse_number(_at(row, 5))
+    day = F.coalesce(F.substr(cells.filled(None, "Date", "Day", "Sold On", "Job Creation Date"), F.lit(1), F.lit(10)).try_cast("date"), event_date)
+    booked = ("Closed Opportunities", "CompletedJob", "Completed")
+    closed, completed = parse_whole(cells.given(1, "Closed Opportunities", "ClosedOpportunities", *booked[1:])), parse_whole(cells.given(2, *booked))
+    total = parse_number(cells.given(5, "Total Sales", "TotalSales", "TotalRevenue", "SoldAmount", "BookedRevenue"))
     average = F.when(
         (F.coalesce(completed, F.lit(0)) > 0) & total.isNotNull(),
         F.round((total.cast("double") / completed.cast("double")).cast("decimal(38,6)"), 2),
-    ).otherwise(parse_scaled(_at(row, 6), 2))
+    ).otherwise(parse_scaled(cells.given(6, "Average Closed Sale", "AverageClosedSale"), 2))
     stamp = F.current_timestamp().cast("timestamp_ntz") if updated_on is None else updated_on
     return report.select(
-        event_date.alias("event_date"),
+        (event_date if columns is None else day).alias("event_date"),
         unit_col.alias("bu_name"),
-        F.coalesce(_at(row, 0), F.lit("")).alias("estimator"),
-        parse_whole(_at(row, 3)).alias("sales_opportunities"),
+        F.coalesce(cells.given(0, "Estimator", "Technician"), F.lit("")).alias("estimator"),
+        parse_whole(cells.given(3, "Sales Opportunities", "SalesOpportunities")).alias("sales_opportunities"),
         completed.alias("completed_est"),
         closed.alias("closed_opportunities"),
-        F.round(parse_rate(_at(row, 4)), 6).alias("close_rate"),
+        F.round(parse_rate(cells.given(4, "Close Rate", "CloseRate")), 6).alias("close_rate"),
         F.round(total, 2).cast("decimal(18,4)").alias("total_sales"),
         average.cast("decimal(18,4)").alias("avg_closed_sale"),
         stamp.alias("updated_on"),
@@ -289,24 +343,25 @@ def sales_rows(
 
 
 def consolidated_sales_rows(
-    report: DataFrame, event_date: Column, *, row: str = "row", updated_on: Column | None = None
+    report: DataFrame, event_date: Column, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
-    """One row per unit; missing numbers are 0, the rate stays null if unreadable."""
+    """One row per unit; missing numbers are 0, the rate stays null if unreadable; cells by name where ``columns`` has them."""
+    cells = Cells(row, columns)
 
-    def whole(position: int) -> Column:
-        return F.round(_zero(parse_number(_at(row, position))), 0).cast("bigint")
+    def whole(cell: Column) -> Column:
+        return F.round(_zero(parse_number(cell)), 0).cast("bigint")
 
     return report.select(
         *_stamped(
             [
                 event_date.alias("event_date"),
-                F.coalesce(_text(row, 0), F.lit("unknown")).alias("bu_name"),
-                whole(1).alias("sales_opportunities"),
-                whole(2).alias("closed_opportunities"),
-                parse_rate(_at(row, 3)).alias("close_rate"),
-                whole(4).alias("completed_est"),
-                _zero(parse_scaled(_at(row, 5), 2)).alias("total_sales"),
-                _zero(parse_scaled(_at(row, 6), 2)).alias("avg_closed_sale"),
+                F.coalesce(_full(cells.filled(0, "Name")), F.lit("unknown")).alias("bu_name"),
+                whole(cells.filled(1, "Sales Opportunity")).alias("sales_opportunities"),
+                whole(cells.filled(2, "Closed Opportunities")).alias("closed_opportunities"),
+                parse_rate(cells.filled(3, "Close rate")).alias("close_rate"),
+                whole(cells.filled(4, "Completed Jobs")).alias("completed_est"),
+                _zero(parse_scaled(cells.filled(5, "Total Sales"), 2)).alias("total_sales"),
+                _zero(parse_scaled(cells.filled(6, "Closed Average Sale"), 2)).alias("avg_closed_sale"),
             ],
             row,
             updated_on,

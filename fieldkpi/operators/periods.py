@@ -266,13 +266,13 @@ def company_totals(sales: DataFrame) -> DataFrame:
     )
 
 
-def sign_audit(collections: DataFrame, *, samples: int = 5) -> DataFrame:
-    """Counts and totals by sign per unit, with the first negative payments.
+def sign_audit(collections: DataFrame, *, samples: int = 5, units: Sequence[str] = ("business_unit",)) -> DataFrame:
+    """Counts and totals by sign per unit, with the first negative and positive payments.
 
-    Samples are ranked first, so that no more than ``samples`` rows per unit are
-    gathered.
+    The unit is the first of the ``units`` columns that is filled.  Samples are ranked first, so that no more than
+    ``samples`` rows per unit and sign are gathered.
     """
-    unit = F.coalesce(F.nullif(F.trim("business_unit"), F.lit("")), F.lit("unknown"))
+    unit = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in units], F.lit("unknown"))
     rows = collections.withColumn("unit", unit).withColumn("value", money("amount"))
     value = F.col("value")
     zero = F.lit(0).cast("decimal(18,4)")
@@ -286,15 +286,17 @@ def sign_audit(collections: DataFrame, *, samples: int = 5) -> DataFrame:
         count_if(value.isNull() | (value == 0)).alias("zero_count"),
     )
     order = [F.col("payment_date").asc_nulls_last(), F.col("job_id").asc_nulls_last(), F.col("value")]
-    rank = F.row_number().over(Window.partitionBy("unit").orderBy(*order))
-    first = (
-        rows.where(value < 0)
-        .select("unit", "payment_date", "job_id", "value", rank.alias("rank"))
-        .where(F.col("rank") <= samples)
-        .groupBy("unit")
-        .agg(F.sort_array(F.collect_list(F.struct("rank", "job_id"))).alias("found"))
-        .select("unit", F.array_join(F.transform("found", lambda s: s["job_id"]), ",").alias("negative_samples"))
-    )
+    signed = rows.where(value != 0).withColumn("negative", value < 0)
+    rank = F.row_number().over(Window.partitionBy("unit", "negative").orderBy(*order))
+    ranked = signed.select("unit", "negative", "job_id", rank.alias("rank")).where(F.col("rank") <= samples)
+
+    def listed(wanted: Column, name: str) -> Column:
+        found = F.sort_array(F.collect_list(F.when(wanted, F.struct("rank", "job_id"))))
+        text = F.array_join(F.transform(found, lambda s: s["job_id"]), ",")
+        return F.when(F.max(wanted), text).alias(name)
+
+    negative = F.col("negative")
+    first = ranked.groupBy("unit").agg(listed(negative, "negative_samples"), listed(~negative, "positive_samples"))
     return totals.join(first, "unit", "left")
 
 

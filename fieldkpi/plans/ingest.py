@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,9 @@ from fieldkpi.plans.catalog import query
 from fieldkpi.plans.domain import Domain
 from fieldkpi.plans.oracle import EVENT_VALUE, PRICE, QTY, dsum, ldate, m, pct, ratio, rnd
 from fieldkpi.plans.stage_marts import AS_OF, sold
-from fieldkpi.sources import readers, schema_ops, tables
+from fieldkpi.sources import loads, readers, schema_ops, sinks, tables
 from fieldkpi.sources.literals import literal_relation
+from fieldkpi.sources.store import Layout, Store, Transaction
 from fieldkpi.sources.workspace import new_folder
 from fieldkpi.streaming import jobs as streams
 
@@ -218,21 +220,26 @@ _UPSERTED = f"""SELECT id, CASE WHEN modified_on >= TIMESTAMP '{_LOADED}' THEN j
 _NEWEST = ["modified_on"]
 
 
+def new_store(d: Domain) -> Store:
+    return Store(d.spark, new_folder(d.spark, "store"))
+
+
+def add(t: Transaction, table: str, rows: DataFrame, layout: Layout | None = None) -> None:
+    """The rows into a table that is made, or grows their columns, first."""
+    t.ensure(table, rows.schema, layout)
+    t.append(table, rows)
+
+
 @query(
     "snk_01_day_partitioned_table",
     "SELECT id, job_status, business_unit_id, created_on, modified_on, CAST(modified_on AS DATE) AS day FROM jobs",
 )
 def _(d: Domain) -> DataFrame:
-    """Partitioned by month of change here, so that the small table has few files."""
-    folder = new_folder(d.spark, "by-day")
+    """Parted by the day of the change, ordered by unit and status within a day, and read back with the day."""
+    store = new_store(d)
     rows = job_rows(d)
-    monthly = rows.withColumn("month", F.date_trunc("month", "modified_on").cast("timestamp_ntz"))
-    tables.write_by_day(monthly, folder, "month", cluster=("business_unit_id", "job_status"))
-    return (
-        d.spark.read.parquet(folder)
-        .drop("month")
-        .withColumn("day", F.to_date("modified_on"))
-    )
+    store.run("load", lambda t: add(t, "jobs", rows, Layout(("id",), "modified_on", cluster=("business_unit_id", "job_status"))))
+    return store.read("jobs")
 
 
 @query(
@@ -255,23 +262,18 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "snk_02_additive_schema",
-    f"""SELECT id, job_status, NULL::VARCHAR AS job_number, created_on FROM ({_UPSERTED})
-            WHERE modified_on < TIMESTAMP '{_LOADED}'
-        UNION ALL SELECT id, job_status, job_number, created_on FROM jobs
-            WHERE created_on >= TIMESTAMP '{_LOADED}'""",
+    f"""SELECT id, job_status, CASE WHEN created_on >= TIMESTAMP '{_LOADED}' THEN job_number END AS job_number,
+               created_on, CASE WHEN created_on >= TIMESTAMP '{_LOADED}' THEN campaign_id END AS campaign_id FROM jobs""",
 )
 def _(d: Domain) -> DataFrame:
-    old = (
-        job_rows(d)
-        .where(F.col("modified_on") < F.expr(f"TIMESTAMP_NTZ'{_LOADED}'"))
-        .select("id", F.lit("Scheduled").alias("job_status"), "created_on")
-    )
-    new = (
-        d.jobs()
-        .where(F.col("created_on") >= F.expr(f"TIMESTAMP_NTZ'{_LOADED}'"))
-        .select("id", "job_status", "job_number", "created_on")
-    )
-    return tables.merge_schemas(old, new)
+    """A table written with an old schema, whose ids were shorter, and then with a new one; all its files read."""
+    store, jobs = new_store(d), d.jobs()
+    cut = F.col("created_on") >= F.expr(f"TIMESTAMP_NTZ'{_LOADED}'")
+    old = jobs.where(~cut).select(F.col("id").cast("int").alias("id"), "job_status", "created_on")
+    new = jobs.where(cut).select("job_number", "id", "job_status", "created_on", "campaign_id")
+    store.run("old", lambda t: add(t, "jobs", old))
+    store.run("new", lambda t: add(t, "jobs", new))
+    return store.read("jobs")
 
 
 @query(
@@ -303,17 +305,11 @@ def _(d: Domain) -> DataFrame:
 
 @query("snk_04_upsert_days", _UPSERTED)
 def _(d: Domain) -> DataFrame:
-    """The same into a partitioned table (by month of creation), rewriting touched partitions."""
-    folder = new_folder(d.spark, "upsert-days")
-
-    def with_month(df: DataFrame) -> DataFrame:
-        return df.withColumn("month", F.date_trunc("month", "created_on").cast("timestamp_ntz"))
-
-    tables.write_by_day(with_month(first_load(d)), folder, "month")
-    tables.upsert_days(
-        d.spark, folder, with_month(changed_jobs(d)), ["id"], dedupe.newest(*_NEWEST), "month"
-    )
-    return d.spark.read.parquet(folder).drop("month", "day")
+    """The same into a table by day of change, so that keys move between days; only files that hold a key are rewritten."""
+    store = new_store(d)
+    store.run("first", lambda t: add(t, "jobs", first_load(d), Layout(("id",), "modified_on")))
+    store.run("second", lambda t: t.upsert("jobs", changed_jobs(d), dedupe.newest(*_NEWEST)))
+    return store.read("jobs").drop("day")
 
 
 _WINDOW = ("1998-03-01", "1998-03-31")
@@ -334,7 +330,10 @@ def _(d: Domain) -> DataFrame:
         & (F.col("job_status") == "Completed")
     )
     batch = batch.select("id", F.lit("Reloaded").alias("job_status"), "created_on")
-    return tables.replace_range(rows, batch, "created_on", *_WINDOW)
+    store = new_store(d)
+    store.run("load", lambda t: add(t, "jobs", rows, Layout(("id",), "created_on")))
+    store.run("window", lambda t: t.replace_range("jobs", batch, "created_on", *_WINDOW))
+    return store.read("jobs").drop("day")
 
 
 _BOOKED = f"""SELECT sold_date AS kpi_date, business_unit, {dsum('revenue_amount')} AS total_booked
@@ -365,7 +364,10 @@ def _(d: Domain) -> DataFrame:
     """An outdated table (all zero) whose last seven days, and later ones, are refreshed."""
     view = booked(d)
     outdated = view.withColumn("total_booked", F.lit(0.0))
-    return tables.refresh_last_days(outdated, view, "kpi_date", AS_OF)
+    store = new_store(d)
+    store.run("outdated", lambda t: add(t, "booked", outdated, Layout(day="kpi_date")))
+    store.run("refresh", lambda t: sinks.refresh_stored(t, "booked", view, "kpi_date", AS_OF))
+    return store.read("booked").drop("day")
 
 
 @query(
@@ -379,9 +381,11 @@ def _(d: Domain) -> DataFrame:
 def _(d: Domain) -> DataFrame:
     """Two days' snapshots; the second day ran twice."""
     view = marts.receivables_with_floor(d.invoices(), d.dim_jobs())
-    day_one = tables.append_snapshot(None, view.withColumn("outstanding_ar", F.lit(0.0)), "1999-12-31")
-    day_two = tables.append_snapshot(day_one, view, AS_OF)
-    return tables.append_snapshot(day_two, view, AS_OF)
+    store = new_store(d)
+    store.run("one", lambda t: sinks.store_snapshot(t, "ar", view.withColumn("outstanding_ar", F.lit(0.0)), "1999-12-31"))
+    for turn in ("two", "again"):
+        store.run(turn, lambda t: sinks.store_snapshot(t, "ar", view, AS_OF))
+    return store.read("ar").drop("day")
 
 
 @query(
@@ -392,7 +396,12 @@ def _(d: Domain) -> DataFrame:
        FROM invoices i LEFT JOIN jobs j ON i.job_number = j.job_number""",
 )
 def _(d: Domain) -> DataFrame:
-    return tables.repair_foreign_key(d.invoices(), d.jobs()).select("id", "job_id", "business_unit_id")
+    """The stored invoices, of which only the files with rows to repair are rewritten."""
+    store = new_store(d)
+    invoices = d.invoices()
+    store.run("load", lambda t: add(t, "invoices", invoices, Layout(("id",))))
+    store.run("repair", lambda t: t.upsert("invoices", tables.repaired_rows(t.read("invoices"), d.jobs()), [F.col("id")]))
+    return store.read("invoices").select("id", "job_id", "business_unit_id")
 
 
 # --- incremental ------------------------------------------------------------------
@@ -463,6 +472,57 @@ def _(d: Domain) -> DataFrame:
     return incremental.year_chunk_counts(d.jobs(), 1994, _NOW_DAY)
 
 
+def job_entity(d: Domain) -> loads.Entity:
+    return loads.Entity("jobs", job_rows(d).schema, Layout(("id",)), tuple(dedupe.newest(*_NEWEST)), ("id", "created_on"))
+
+
+def ticking(start: datetime) -> Callable[[], datetime]:
+    """A clock that moves one second with each look."""
+    times = iter(start + timedelta(seconds=n) for n in range(1, 1_000_000))
+    return lambda: next(times)
+
+
+class Interrupted(RuntimeError):
+    """The planned end of a worker."""
+
+
+def backfilled(d: Domain) -> Store:
+    """Jobs loaded year by year: the first worker fails on one chunk and its second try succeeds."""
+    store, failed = new_store(d), []
+
+    def fetch(start: date, end: date) -> DataFrame:
+        if start.year == 1995 and not failed:
+            failed.append(start)
+            raise Interrupted("connection lost")
+        return incremental.chunk(job_rows(d), start, end)
+
+    wanted = loads.chunks(d.jobs(), 1994, _NOW_DAY)
+    loads.backfill(store, job_entity(d), wanted[:5], fetch, worker="one", clock=ticking(datetime(2024, 1, 31)))
+    loads.backfill(store, job_entity(d), wanted, fetch, worker="two", clock=ticking(datetime(2024, 2, 1)))
+    return store
+
+
+@query(
+    "inc_04_backfill",
+    "SELECT id, job_status, business_unit_id, created_on, modified_on FROM jobs",
+)
+def _(d: Domain) -> DataFrame:
+    return backfilled(d).read("raw_jobs")
+
+
+@query(
+    "inc_04_backfill_ledger",
+    """SELECT y.y AS year, 'done' AS status, CASE WHEN y.y <= 1998 THEN 'one' ELSE 'two' END AS worker,
+              (SELECT COUNT(*) FROM jobs j WHERE year(j.created_on) = y.y) AS rows,
+              CAST(CASE WHEN y.y = 1995 THEN 1 ELSE 0 END AS BIGINT) AS failures
+       FROM (SELECT unnest(generate_series(1994, 2001)) AS y) y""",
+)
+def _(d: Domain) -> DataFrame:
+    """Which worker loaded which year, with how many rows, after how many failures."""
+    own = loads.ledger(backfilled(d), "jobs")
+    return own.select(F.year("start_date").cast("bigint").alias("year"), "status", "worker", "rows", "failures")
+
+
 @query(
     "inc_05_open_windows",
     """SELECT CAST(s AS DATE) AS window_from, LEAST(CAST(s AS DATE) + 6, l) AS window_to
@@ -605,6 +665,67 @@ def _(d: Domain) -> DataFrame:
     return incremental.run_health(d.run_log(), NOW)
 
 
+_RUNS = ("1998-01-01", "1998-04-01", "2010-01-01")
+
+
+def entity_loads(d: Domain) -> Store:
+    """Three runs over the jobs: the second fails on rows without an id and is run again, the third one twice."""
+    store, entity, jobs = new_store(d), job_entity(d), job_rows(d)
+    broken = [True]
+
+    def fetch(until: str) -> Callable[[datetime], DataFrame]:
+        def run(mark: datetime) -> DataFrame:
+            first = mark < datetime(1998, 1, 1)
+            since = F.lit(True) if first else F.col("modified_on") >= F.expr(f"TIMESTAMP_NTZ'{mark}'")
+            rows = jobs.where(since & (F.col("modified_on") < F.expr(f"TIMESTAMP_NTZ'{until}'")))
+            if not first and broken.pop():
+                rows = rows.withColumn("id", F.when(F.col("id") % 7 != 0, F.col("id")))
+            return rows
+
+        return run
+
+    for run_id, until in zip(("r1", "r2", "r2", "r3", "r3"), (_RUNS[0], _RUNS[1], _RUNS[1], _RUNS[2], _RUNS[2]), strict=True):
+        try:
+            loads.load_entity(store, entity, run_id, fetch(until), clock=ticking(datetime.fromisoformat(until) - timedelta(seconds=1)))
+        except loads.Invalid:
+            broken.append(False)
+        else:
+            broken.append(not broken or run_id == "r1")
+    return store
+
+
+@query("inc_12_entity_load", "SELECT id, job_status, business_unit_id, created_on, modified_on FROM jobs")
+def _(d: Domain) -> DataFrame:
+    """The table after all runs: nothing double, nothing lost."""
+    return entity_loads(d).read("raw_jobs")
+
+
+_PARTS = f"""(SELECT 'r1' AS run_id, TIMESTAMP '{_RUNS[0]}' AS t, COUNT(*) AS n FROM jobs WHERE modified_on < TIMESTAMP '{_RUNS[0]}'
+    UNION ALL SELECT 'r2', TIMESTAMP '{_RUNS[1]}', COUNT(*) FROM jobs
+        WHERE modified_on >= TIMESTAMP '{_RUNS[0]}' AND modified_on < TIMESTAMP '{_RUNS[1]}'
+    UNION ALL SELECT 'r3', TIMESTAMP '{_RUNS[2]}', COUNT(*) FROM jobs
+        WHERE modified_on >= TIMESTAMP '{_RUNS[1]}' AND modified_on < TIMESTAMP '{_RUNS[2]}')"""
+
+
+@query(
+    "inc_12_load_state",
+    f"""SELECT 'jobs' AS entity_type, t AS last_sync_time, 'success' AS last_sync_status,
+               n AS records_processed FROM {_PARTS} WHERE n > 0""",
+)
+def _(d: Domain) -> DataFrame:
+    return entity_loads(d).read(loads.STATE).select("entity_type", "last_sync_time", "last_sync_status", "records_processed")
+
+
+@query(
+    "inc_12_load_log",
+    f"""SELECT run_id, 'success' AS status, n AS records_fetched, n AS records_inserted, NULL::VARCHAR AS error_message FROM {_PARTS}
+        UNION ALL SELECT 'r2', 'failed', NULL, 0, CAST(COUNT(*) AS VARCHAR) || ' rows without id' FROM jobs
+            WHERE modified_on >= TIMESTAMP '{_RUNS[0]}' AND modified_on < TIMESTAMP '{_RUNS[1]}' AND id % 7 = 0""",
+)
+def _(d: Domain) -> DataFrame:
+    return entity_loads(d).read(loads.LOG).select("run_id", "status", "records_fetched", "records_inserted", "error_message")
+
+
 # --- normalisation ------------------------------------------------------------------
 
 
@@ -866,6 +987,12 @@ def _(d: Domain) -> DataFrame:
     return d.inventory_bills().select("id", total.cast("double").alias("total"))
 
 
+def shuffled(report: DataFrame, names: Sequence[str], order: Sequence[int]) -> DataFrame:
+    """The report with its cells in another order, and the names that tell them apart."""
+    cells = F.array(*[F.get(F.col("row"), i) for i in order])
+    return report.withColumns({"row": cells, "columns": F.array(*[F.lit(names[i]) for i in order])})
+
+
 def leads_report(d: Domain) -> DataFrame:
     """Positional rows, several per job; some name another unit or a test customer."""
     return d.table("lineitem").selectExpr(
@@ -878,20 +1005,32 @@ def leads_report(d: Domain) -> DataFrame:
     )
 
 
-@query(
-    "nrm_11_leads_rows",
-    """SELECT bu_key, job_id, MIN(created) AS job_created_on, 'ESTIMATE-RES-EXT' AS job_type FROM (
+_LEADS_ROWS = """SELECT bu_key, job_id, MIN(created) AS job_created_on, 'ESTIMATE-RES-EXT' AS job_type FROM (
            SELECT 'Unit ' || (l_orderkey % 25) AS bu_key, CAST(l_orderkey AS VARCHAR) AS job_id,
                   CASE WHEN l_quantity = 1 THEN TIMESTAMP '1990-01-01' ELSE l_shipdate END AS created
            FROM lineitem WHERE CAST(l_discount AS DECIMAL(4,2)) <> 0 AND CAST(l_tax AS DECIMAL(4,2)) <> 0.01)
-       GROUP BY 1, 2""",
-)
+       GROUP BY 1, 2"""
+
+
+@query("nrm_11_leads_rows", _LEADS_ROWS)
 def _(d: Domain) -> DataFrame:
     return normalize.leads_rows(
         leads_report(d), "queried_unit", fallback_created=F.expr("TIMESTAMP_NTZ'1990-01-01 00:00:00'")
     ).select("bu_key", "job_id", "job_created_on", "job_type")
 
 
+@query("nrm_11_leads_rows_by_name", _LEADS_ROWS)
+def _(d: Domain) -> DataFrame:
+    """The same from rows in another order; the creation time stays in its place, and empty cells stand where cells by
+    position would be looked for."""
+    names = ("Customer name", "A", "B", "Job Type", "C", "Job Number", "Job Business Unit", "D", "Created Date")
+    report = shuffled(leads_report(d), names, (2, 5, 0, 6, 3, 7, 1, 4, 8))
+    fallback = F.expr("TIMESTAMP_NTZ'1990-01-01 00:00:00'")
+    return normalize.leads_rows(report, "queried_unit", columns="columns", fallback_created=fallback).select(
+        "bu_key", "job_id", "job_created_on", "job_type"
+    )
+
+
 def payments_report(d: Domain) -> DataFrame:
     value = "CAST(value AS DECIMAL(14,2))"
     return d.table("events").selectExpr(
@@ -910,18 +1049,25 @@ _PAYMENT_AMOUNT = f"""CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN -CAST
     ELSE CAST({EVENT_VALUE} AS DOUBLE) END"""
 
 
-@query(
-    "nrm_12_collections_rows",
-    f"""SELECT CASE WHEN user_id % 25 = 0 THEN 'unknown' ELSE 'Unit ' || (user_id % 25) END AS bu_key,
+_COLLECTIONS_ROWS = f"""SELECT CASE WHEN user_id % 25 = 0 THEN 'unknown' ELSE 'Unit ' || (user_id % 25) END AS bu_key,
                CASE WHEN event_type <> 'signup' THEN date_trunc('second', ts) END AS payment_date,
                {_PAYMENT_AMOUNT} AS amount, CAST(user_id AS VARCHAR) AS job_id,
-               event_type <> 'click' AS has_remaining_balance FROM events""",
-)
+               event_type <> 'click' AS has_remaining_balance FROM events"""
+
+
+@query("nrm_12_collections_rows", _COLLECTIONS_ROWS)
 def _(d: Domain) -> DataFrame:
     out = normalize.collections_rows(payments_report(d)).drop("updated_on", "raw")
     return as_double(out, "amount")
 
 
+@query("nrm_12_collections_rows_by_name", _COLLECTIONS_ROWS)
+def _(d: Domain) -> DataFrame:
+    names = ("Paid On", "Customer", "Payment Amount", "Invoice Number", "A", "B", "C", "Invoice Business Unit", "Invoice Balance")
+    out = normalize.collections_rows(shuffled(payments_report(d), names, range(8, -1, -1)), columns="columns")
+    return as_double(out.drop("updated_on", "raw"), "amount")
+
+
 @query(
     "nrm_16_keyed_collections_rows",
     f"""SELECT CASE WHEN user_id % 25 = 0 THEN '  ' ELSE ' Unit ' || (user_id % 25) || ' ' END AS business_unit,
@@ -973,30 +1119,50 @@ def _(d: Domain) -> DataFrame:
     return as_double(out, *[c for c, t in out.dtypes if t.startswith("decimal")])
 
 
-@query(
-    "nrm_13_daily_job_cost_rows",
-    f"""SELECT 'Unit ' || (l_orderkey % 25) AS bu_key, CAST(l_orderkey AS VARCHAR) AS job_id,
+_DAILY_COST_ROWS = f"""SELECT 'Unit ' || (l_orderkey % 25) AS bu_key, CAST(l_orderkey AS VARCHAR) AS job_id,
                l_shipdate AS job_start, 'Exterior' AS job_type, CAST({PRICE} AS DOUBLE) AS job_subtotal,
                CAST(ROUND({_HALF}, 2) AS DOUBLE) AS job_total_costs,
                CAST(CAST(l_discount AS DECIMAL(4,2)) + CAST(0.005 AS DECIMAL(5,4)) AS DOUBLE) AS job_gm_pct
-        FROM lineitem""",
-)
+        FROM lineitem"""
+
+
+@query("nrm_13_daily_job_cost_rows", _DAILY_COST_ROWS)
 def _(d: Domain) -> DataFrame:
     out = normalize.daily_job_cost_rows(job_cost_report(d)).drop("updated_on", "raw")
     return as_double(out, "job_subtotal", "job_total_costs", "job_gm_pct")
 
 
-@query(
-    "nrm_14_future_booking_rows",
-    f"""SELECT 'Unit ' || (l_orderkey % 25) AS bu_key, CAST(l_orderkey AS VARCHAR) AS job_id,
+_COST_NAMES = (
+    "Scheduled Date", "Business Unit", "Sold By", "Primary Technician", "Job Type", "Customer Name", "Job #", "Jobs Subtotal",
+    "Labor Pay", "Payroll Adjustments", "Material Cost", "Returns", "Jobs Total Cost", "Jobs Gross Margin %", "Status",
+)
+
+
+@query("nrm_13_daily_job_cost_rows_by_name", _DAILY_COST_ROWS)
+def _(d: Domain) -> DataFrame:
+    report = shuffled(job_cost_report(d), _COST_NAMES, range(14, -1, -1))
+    out = normalize.daily_job_cost_rows(report, columns="columns").drop("updated_on", "raw")
+    return as_double(out, "job_subtotal", "job_total_costs", "job_gm_pct")
+
+
+_BOOKING_ROWS = f"""SELECT 'Unit ' || (l_orderkey % 25) AS bu_key, CAST(l_orderkey AS VARCHAR) AS job_id,
                l_shipdate AS scheduled_date, CAST({PRICE} AS DOUBLE) AS job_subtotal,
-               TIMESTAMP '{NOW}' AS as_of_date FROM lineitem""",
-)
+               TIMESTAMP '{NOW}' AS as_of_date FROM lineitem"""
+
+
+@query("nrm_14_future_booking_rows", _BOOKING_ROWS)
 def _(d: Domain) -> DataFrame:
     out = booking_rows(d).drop("raw", "job_type")
     return as_double(out, "job_subtotal")
 
 
+@query("nrm_14_future_booking_rows_by_name", _BOOKING_ROWS)
+def _(d: Domain) -> DataFrame:
+    report = shuffled(job_cost_report(d), _COST_NAMES, range(14, -1, -1))
+    out = normalize.future_booking_rows(report, F.expr(f"TIMESTAMP_NTZ'{NOW}'"), columns="columns")
+    return as_double(out.drop("raw", "job_type"), "job_subtotal")
+
+
 def booking_rows(d: Domain) -> DataFrame:
     return normalize.future_booking_rows(job_cost_report(d), F.expr(f"TIMESTAMP_NTZ'{NOW}'"))
 
@@ -1022,38 +1188,68 @@ def sales_report(d: Domain) -> DataFrame:
     )
 
 
-@query(
-    "nrm_15_sales_rows",
-    f"""SELECT CAST(l_shipdate AS DATE) AS event_date, 'Unit ' || (l_suppkey % 25) AS bu_name,
+_SALES_ROWS = f"""SELECT CAST(l_shipdate AS DATE) AS event_date, 'Unit ' || (l_suppkey % 25) AS bu_name,
                'Seller ' || l_suppkey AS estimator, CAST(l_quantity AS BIGINT) AS sales_opportunities,
                CAST(CASE WHEN l_tax = 0 THEN 0 ELSE l_linenumber END AS BIGINT) AS completed_est,
                CAST(l_linenumber AS BIGINT) AS closed_opportunities,
                CASE WHEN l_linenumber > 1 THEN l_linenumber / 100.0::DOUBLE ELSE 1 END AS close_rate,
                CAST({PRICE} AS DOUBLE) AS total_sales,
                CASE WHEN l_tax = 0 THEN 10 ELSE {rnd(ratio(PRICE, 'l_linenumber'))} END AS avg_closed_sale
-        FROM lineitem""",
-)
+        FROM lineitem"""
+
+
+@query("nrm_15_sales_rows", _SALES_ROWS)
 def _(d: Domain) -> DataFrame:
     out = normalize.sales_rows(sales_report(d), "unit", F.col("day")).drop("updated_on")
     return as_double(out, "close_rate", "total_sales", "avg_closed_sale")
 
 
 @query(
-    "nrm_15_consolidated_sales_rows",
+    "nrm_15_sales_rows_by_name",
     f"""SELECT CAST(l_shipdate AS DATE) AS event_date, 'Unit ' || (l_suppkey % 25) AS bu_name,
+               'Seller ' || l_suppkey AS estimator, CAST(l_quantity AS BIGINT) AS sales_opportunities,
+               CAST(l_linenumber AS BIGINT) AS completed_est, CAST(l_linenumber AS BIGINT) AS closed_opportunities,
+               CASE WHEN l_linenumber > 1 THEN l_linenumber / 100.0::DOUBLE ELSE 1 END AS close_rate,
+               CAST({PRICE} AS DOUBLE) AS total_sales, {rnd(ratio(PRICE, 'l_linenumber'))} AS avg_closed_sale FROM lineitem""",
+)
+def _(d: Domain) -> DataFrame:
+    """By name closed opportunities are what was booked; rows carry their own day."""
+    day = F.date_format("day", "yyyy-MM-dd'T'HH:mm:ss")
+    report = sales_report(d).withColumn("row", F.concat("row", F.array(day)))
+    names = ("Estimator", "Closed Opportunities", "Other", "Sales Opportunities", "Close Rate", "TotalSales", "Average Closed Sale", "Sold On")
+    report = shuffled(report, names, range(7, -1, -1))
+    out = normalize.sales_rows(report, "unit", F.lit("1970-01-01").cast("date"), columns="columns").drop("updated_on")
+    return as_double(out, "close_rate", "total_sales", "avg_closed_sale")
+
+
+_UNIT_SALES_ROWS = f"""SELECT CAST(l_shipdate AS DATE) AS event_date, 'Unit ' || (l_suppkey % 25) AS bu_name,
                CAST(l_quantity AS BIGINT) AS sales_opportunities, CAST(l_linenumber AS BIGINT) AS closed_opportunities,
                CAST(CAST(l_discount AS DECIMAL(4,2)) AS DOUBLE) AS close_rate,
                CAST(0 AS BIGINT) AS completed_est, CAST({PRICE} AS DOUBLE) AS total_sales,
-               CAST(0 AS DOUBLE) AS avg_closed_sale FROM lineitem""",
-)
-def _(d: Domain) -> DataFrame:
-    rows = d.table("lineitem").selectExpr(
+               CAST(0 AS DOUBLE) AS avg_closed_sale FROM lineitem"""
+
+
+def unit_sales_report(d: Domain) -> DataFrame:
+    return d.table("lineitem").selectExpr(
         "CAST(l_shipdate AS DATE) AS day",
         "array(concat('Unit ', l_suppkey % 25), CAST(CAST(l_quantity AS INT) AS STRING),"
         " CAST(l_linenumber AS STRING), CAST(CAST(l_discount AS DECIMAL(4,2)) AS STRING), '',"
         " concat('$', format_number(CAST(l_extendedprice AS DECIMAL(14,2)), 2)), NULL) AS row",
     )
-    out = normalize.consolidated_sales_rows(rows, F.col("day")).drop("updated_on", "raw")
+
+
+@query("nrm_15_consolidated_sales_rows", _UNIT_SALES_ROWS)
+def _(d: Domain) -> DataFrame:
+    out = normalize.consolidated_sales_rows(unit_sales_report(d), F.col("day")).drop("updated_on", "raw")
+    return as_double(out, "close_rate", "total_sales", "avg_closed_sale")
+
+
+@query("nrm_15_consolidated_sales_rows_by_name", _UNIT_SALES_ROWS)
+def _(d: Domain) -> DataFrame:
+    """In an order in which no place that stands in for an empty cell holds a number."""
+    names = ("Name", "Sales Opportunity", "Closed Opportunities", "Close rate", "Completed Jobs", "Total Sales", "Closed Average Sale")
+    report = shuffled(unit_sales_report(d), names, (1, 2, 3, 5, 4, 0, 6))
+    out = normalize.consolidated_sales_rows(report, F.col("day"), columns="columns").drop("updated_on", "raw")
     return as_double(out, "close_rate", "total_sales", "avg_closed_sale")
 
 

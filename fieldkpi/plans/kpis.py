@@ -329,21 +329,21 @@ def daily_kpis(d: Domain) -> DataFrame:
 
 _CONSOLIDATED = {
     "f_leads": """SELECT CAST(job_created_on AS DATE) AS kpi_date, bu_key, COUNT(*) AS leads
-        FROM report_leads GROUP BY 1, 2""",
-    "f_collected": """SELECT CAST(payment_date AS DATE) AS kpi_date, business_unit AS bu_key,
-        CAST(SUM(amount) AS DOUBLE) AS collected_amount FROM collections
-        WHERE business_unit IS NOT NULL GROUP BY 1, 2""",
+        FROM report_leads WHERE job_created_on IS NOT NULL AND bu_key IS NOT NULL GROUP BY 1, 2""",
+    "f_collected": f"""SELECT CAST(payment_date AS DATE) AS kpi_date, business_unit AS bu_key,
+        {rsum('amount')} AS collected_amount FROM collections
+        WHERE payment_date IS NOT NULL AND business_unit IS NOT NULL GROUP BY 1, 2""",
     "f_sales": f"""SELECT event_date AS kpi_date, bu_name AS bu_key,
         CAST(SUM(sales_opportunities) AS BIGINT) AS sales_opportunities,
         CAST(SUM(closed_opportunities) AS BIGINT) AS closed_opportunities,
         {rnd(ratio('SUM(closed_opportunities)', 'SUM(sales_opportunities)'), 4)} AS close_rate,
-        {dsum('total_sales')} AS total_sales,
+        {rsum('total_sales')} AS total_sales,
         {rnd(ratio('SUM(total_sales)', 'SUM(closed_opportunities)'))} AS avg_closed_sale
-        FROM report_sales GROUP BY 1, 2""",
+        FROM report_sales WHERE event_date IS NOT NULL AND bu_name IS NOT NULL GROUP BY 1, 2""",
     "f_cost": f"""SELECT CAST(job_start AS DATE) AS kpi_date, bu_key, COUNT(*) AS completed_jobs,
-        {dsum('job_subtotal')} AS job_subtotal, {dsum('job_total_costs')} AS job_costs,
-        {rnd(ratio('SUM(job_subtotal) - SUM(job_total_costs)', 'SUM(job_subtotal)'), 4)} AS gross_margin_pct
-        FROM report_job_cost GROUP BY 1, 2""",
+        {rsum('job_subtotal')} AS job_subtotal, {rsum('job_total_costs')} AS job_costs,
+        {pct('SUM(job_subtotal) - SUM(job_total_costs)', 'SUM(job_subtotal)')} AS gross_margin_pct
+        FROM report_job_cost WHERE job_start IS NOT NULL AND bu_key IS NOT NULL GROUP BY 1, 2""",
     "consolidated": """SELECT * FROM (SELECT kpi_date, bu_key FROM f_leads UNION SELECT kpi_date, bu_key FROM f_collected
             UNION SELECT kpi_date, bu_key FROM f_sales UNION SELECT kpi_date, bu_key FROM f_cost) s
         LEFT JOIN f_leads USING (kpi_date, bu_key) LEFT JOIN f_collected USING (kpi_date, bu_key)
@@ -355,7 +355,7 @@ _CONSOLIDATED = {
 def consolidated(d: Domain) -> DataFrame:
     facts = [
         marts.report_leads_daily(d.report_leads()),
-        marts.report_collections_daily(d.collections().where(F.col("business_unit").isNotNull())).select(
+        marts.report_collections_daily(d.collections()).select(
             "kpi_date", F.col("business_unit").alias("bu_key"), F.col("amount").alias("collected_amount")
         ),
         marts.report_sales_daily(d.report_sales()).withColumnRenamed("bu_name", "bu_key"),
@@ -373,11 +373,11 @@ def consolidated(d: Domain) -> DataFrame:
 
 @query(
     "kpi_07_mart_refresh",
-    """SELECT 'leads' AS mart, 'ok' AS status, COUNT(*) AS rows FROM f_leads
-       UNION ALL SELECT 'sales', 'ok', COUNT(*) FROM f_sales
-       UNION ALL SELECT 'broken', 'error', NULL
-       UNION ALL SELECT 'job_cost', 'ok', COUNT(*) FROM f_cost
-       UNION ALL SELECT 'consolidated', 'ok', COUNT(*) FROM
+    """SELECT 'leads' AS mart, 'ok' AS status, COUNT(*) AS rows, NULL::VARCHAR AS error FROM f_leads
+       UNION ALL SELECT 'sales', 'ok', COUNT(*), NULL FROM f_sales
+       UNION ALL SELECT 'broken', 'error', NULL, '[UNRESOLVED_COLUMN.WITH_SUGGESTION]'
+       UNION ALL SELECT 'job_cost', 'ok', COUNT(*), NULL FROM f_cost
+       UNION ALL SELECT 'consolidated', 'ok', COUNT(*), NULL FROM
            (SELECT kpi_date, bu_key FROM f_leads UNION SELECT kpi_date, bu_key FROM f_sales)""",
     **_CONSOLIDATED,
 )
@@ -400,8 +400,8 @@ def _(d: Domain) -> DataFrame:
         },
         folder,
     )
-    rows = [(r["mart"], r["status"], r["rows"]) for r in report]
-    return d.spark.createDataFrame(rows, "mart string, status string, rows bigint")
+    rows = [(r["mart"], r["status"], r["rows"], r["error"] and r["error"].split(" ")[0]) for r in report]
+    return d.spark.createDataFrame(rows, "mart string, status string, rows bigint, error string")
 
 
 @query("kpi_08_invoice_margin", """SELECT event_date, business_unit, dollars_produced, gpm_percent, warranty_percent
@@ -788,13 +788,13 @@ def _(d: Domain) -> DataFrame:
     "per_12_payroll_by_activity",
     f"""SELECT p.activity, u.name AS business_unit, {dsum('p.paid_duration_hours')} AS total_hours,
                {dsum('p.amount')} AS total_cost, COUNT(DISTINCT p.source_entity_id) AS payroll_entries
-        FROM payroll p LEFT JOIN (SELECT 'Unit ' || id AS name FROM units WHERE region <> 'EUROPE') u
+        FROM payroll p LEFT JOIN (SELECT 'Unit ' || (id + 3) AS name FROM units) u
              ON p.business_unit_name = u.name
         WHERE p.date >= TIMESTAMP '{SINCE}' GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
-    """Units of one region are unknown to the dimension."""
-    known = d.units().where("region <> 'EUROPE'").select("id", F.concat(F.lit("Unit "), "id").alias("name"))
+    """The dimension numbers its units differently, so that payroll names some that it does not know."""
+    known = d.units().select("id", F.concat(F.lit("Unit "), (F.col("id") + 3).cast("string")).alias("name"))
     return periods.payroll_by_activity(d.payroll(), known, SINCE)
 
 
@@ -823,7 +823,7 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "per_14_sign_audit",
-    f"""SELECT t.*, s.negative_samples FROM (
+    f"""SELECT t.*, s.negative_samples, s.positive_samples FROM (
             SELECT COALESCE(business_unit, 'unknown') AS unit, COUNT(*) AS payments,
                    {rsum('COALESCE(amount, 0)')} AS total_with_negatives,
                    COUNT(*) FILTER (amount > 0) AS positive_count,
@@ -832,10 +832,11 @@ def _(d: Domain) -> DataFrame:
                    {rsum('CASE WHEN amount < 0 THEN amount ELSE 0 END')} AS negative_total,
                    COUNT(*) FILTER (amount IS NULL OR amount = 0) AS zero_count
             FROM collections GROUP BY 1) t
-        LEFT JOIN (SELECT unit, string_agg(job_id, ',' ORDER BY r) AS negative_samples FROM (
-            SELECT COALESCE(business_unit, 'unknown') AS unit, job_id, ROW_NUMBER() OVER (
-                PARTITION BY COALESCE(business_unit, 'unknown') ORDER BY payment_date, job_id, amount) AS r
-            FROM collections WHERE amount < 0) WHERE r <= 5 GROUP BY 1) s USING (unit)""",
+        LEFT JOIN (SELECT unit, string_agg(job_id, ',' ORDER BY r) FILTER (sign = -1) AS negative_samples,
+                          string_agg(job_id, ',' ORDER BY r) FILTER (sign = 1) AS positive_samples FROM (
+            SELECT COALESCE(business_unit, 'unknown') AS unit, sign(amount) AS sign, job_id, ROW_NUMBER() OVER (
+                PARTITION BY COALESCE(business_unit, 'unknown'), sign(amount) ORDER BY payment_date, job_id, amount) AS r
+            FROM collections WHERE amount <> 0) WHERE r <= 5 GROUP BY 1) s USING (unit)""",
 )
 def _(d: Domain) -> DataFrame:
     return periods.sign_audit(d.collections())

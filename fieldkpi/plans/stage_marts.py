@@ -332,7 +332,8 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "mrt_15_report_leads_daily",
-    "SELECT CAST(job_created_on AS DATE) AS kpi_date, bu_key, COUNT(*) AS leads FROM report_leads GROUP BY 1, 2",
+    """SELECT CAST(job_created_on AS DATE) AS kpi_date, bu_key, COUNT(*) AS leads FROM report_leads
+       WHERE job_created_on IS NOT NULL AND bu_key IS NOT NULL GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
     return marts.report_leads_daily(d.report_leads())
@@ -340,8 +341,8 @@ def _(d: Domain) -> DataFrame:
 
 @query(
     "mrt_16_report_collections_daily",
-    f"""SELECT CAST(payment_date AS DATE) AS kpi_date, business_unit, {dsum('amount')} AS amount
-        FROM collections GROUP BY 1, 2""",
+    f"""SELECT CAST(payment_date AS DATE) AS kpi_date, business_unit, {rsum('amount')} AS amount
+        FROM collections WHERE payment_date IS NOT NULL AND business_unit IS NOT NULL GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
     return marts.report_collections_daily(d.collections())
@@ -353,9 +354,9 @@ def _(d: Domain) -> DataFrame:
                CAST(SUM(sales_opportunities) AS BIGINT) AS sales_opportunities,
                CAST(SUM(closed_opportunities) AS BIGINT) AS closed_opportunities,
                {rnd(ratio('SUM(closed_opportunities)', 'SUM(sales_opportunities)'), 4)} AS close_rate,
-               {dsum('total_sales')} AS total_sales,
+               {rsum('total_sales')} AS total_sales,
                {rnd(ratio('SUM(total_sales)', 'SUM(closed_opportunities)'))} AS avg_closed_sale
-        FROM report_sales GROUP BY 1, 2""",
+        FROM report_sales WHERE event_date IS NOT NULL AND bu_name IS NOT NULL GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
     return marts.report_sales_daily(d.report_sales())
@@ -374,9 +375,9 @@ def _(d: Domain) -> DataFrame:
 @query(
     "mrt_18_report_job_cost_daily",
     f"""SELECT CAST(job_start AS DATE) AS kpi_date, bu_key, COUNT(*) AS jobs,
-               {dsum('job_subtotal')} AS job_subtotal, {dsum('job_total_costs')} AS job_total_costs,
-               {rnd(ratio('SUM(job_subtotal) - SUM(job_total_costs)', 'SUM(job_subtotal)'), 4)} AS gm_pct
-        FROM report_job_cost GROUP BY 1, 2""",
+               {rsum('job_subtotal')} AS job_subtotal, {rsum('job_total_costs')} AS job_total_costs,
+               {pct('SUM(job_subtotal) - SUM(job_total_costs)', 'SUM(job_subtotal)')} AS gm_pct
+        FROM report_job_cost WHERE job_start IS NOT NULL AND bu_key IS NOT NULL GROUP BY 1, 2""",
 )
 def _(d: Domain) -> DataFrame:
     return marts.report_job_cost_daily(d.report_job_cost())
@@ -434,12 +435,13 @@ def _(d: Domain) -> DataFrame:
 @query(
     "mrt_22_estimates_scheduled",
     f"""SELECT j.business_unit, COUNT(DISTINCT e.id) AS estimates_scheduled,
-               {dsum('e.subtotal')} AS estimate_value
+               {dsum('COALESCE(e.total, e.subtotal)')} AS estimate_value
         FROM estimates e JOIN dim_jobs j ON e.job_id = j.id
-        WHERE e.job_id IN (SELECT job_id FROM appts) GROUP BY 1""",
+        WHERE CAST(e.created_on AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'
+          AND e.job_id IN (SELECT job_id FROM appts WHERE scheduled_start IS NOT NULL) GROUP BY 1""",
 )
 def _(d: Domain) -> DataFrame:
-    return marts.estimates_scheduled(d.estimates(), d.appointments(), d.dim_jobs())
+    return marts.estimates_scheduled(d.estimates(), d.appointments(), d.dim_jobs(), "1996-01-01", "1997-06-30")
 
 
 @query(

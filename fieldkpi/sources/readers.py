@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,14 +40,18 @@ def named_row(columns: str | Column = "columns", row: str | Column = "row") -> C
     )
 
 
-def row_field(names: list[str], position: int, columns: str | Column = "columns", row: str | Column = "row") -> Column:
+def row_field(
+    names: Sequence[str], position: int | None, columns: str | Column = "columns", row: str | Column = "row", *, blanks: bool = False
+) -> Column:
     """A field of a report row: by its names in turn, then by its position (from 0); empty cells count as absent.
 
-    The names of a row that is shorter or longer than the column list are not known; its position is.
+    With ``blanks`` an empty cell under one of the names is the value.  Without a position only names count.  The names
+    of a row that is shorter or longer than the column list are not known; its position is.
     """
     r = F.col(row) if isinstance(row, str) else row
     named = named_row(columns, row)
-    return F.coalesce(*[F.nullif(named[n], F.lit("")) for n in names], F.get(r, F.lit(position)))
+    cells = [named[n] if blanks else F.nullif(named[n], F.lit("")) for n in names]
+    return F.coalesce(*cells, F.lit(None).cast("string") if position is None else F.get(r, F.lit(position)))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:

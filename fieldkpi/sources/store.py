@@ -28,6 +28,8 @@ from fieldkpi.sources.tables import known_columns
 CELLS = 256
 #: Manifests of a table before an append gathers them into one.
 PARTS = 24
+#: Files that one task looks up when a table is read.
+LOOKED_UP = 256
 #: Turns that a load takes when others commit at the same time.
 TURNS = 20
 
@@ -173,8 +175,17 @@ class Store:
         if not paths:
             return self.spark.createDataFrame([], schema)
         own = T.StructType([*schema.fields, T.StructField("write", T.StringType())])
-        base = self.data(table)
-        return self.spark.read.schema(own).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths]).select(*schema.names)
+        return self._scan(table, own, paths).select(*schema.names)
+
+    def _scan(self, table: str, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+        """Files of a table.  Spark looks each of them up, by default in a task of its own; a few tasks do for many files."""
+        base, setting = self.data(table), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, str(max(1, min(int(before), len(paths) // LOOKED_UP))))
+        try:
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths])
+        finally:
+            self.spark.conf.set(setting, before)
 
     def clean(self, keep: int = 1) -> list[int]:
         """Forget all commits but the last ``keep``, and delete the data that only they name.  Gives the numbers that went.
@@ -425,9 +436,8 @@ class Transaction:
 
     def _key_paths(self, table: str, state: State, paths: list[str]) -> DataFrame:
         """The keys that files hold, and in which (``_path``); no other column is read."""
-        base, keys = self.store.data(table), list(state.layout.keys)
-        schema = T.StructType([state.schema[k] for k in keys])
-        own = self.spark.read.schema(schema).parquet(*[f"{base}/{p}" for p in paths])
+        keys = list(state.layout.keys)
+        own = self.store._scan(table, T.StructType([state.schema[k] for k in keys]), paths)
         return own.select(*keys, F.substring_index("_metadata.file_path", f"/{self._name(table)}/data/", -1).alias("_path"))
 
     def _name(self, table: str) -> str:

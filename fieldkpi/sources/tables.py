@@ -214,12 +214,8 @@ def append_snapshot(snapshots: DataFrame | None, view: DataFrame, as_of: str) ->
     return kept.unionByName(stamped, allowMissingColumns=True)
 
 
-def repair_foreign_key(invoices: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Fill a missing job id, and then unit, through the job number.
-
-    Only rows to repair are looked up; the others pass without a shuffle.
-    """
-    broken = F.col("job_id").isNull() & F.col("job_number").isNotNull()
+def repaired_rows(invoices: DataFrame, jobs: DataFrame) -> DataFrame:
+    """The rows that lack a job id and have a job number: with the number's job, if there is one, and then its unit."""
     lookup = dedupe_latest(
         jobs.where(F.col("job_number").isNotNull()).select(
             "job_number", F.col("id").alias("found_id"), F.col("business_unit_id").alias("found_unit")
@@ -227,14 +223,22 @@ def repair_foreign_key(invoices: DataFrame, jobs: DataFrame) -> DataFrame:
         ["job_number"],
         [F.col("found_id").asc_nulls_last()],
     )
-    repaired = (
-        invoices.where(broken)
+    return (
+        invoices.where(F.col("job_id").isNull() & F.col("job_number").isNotNull())
         .join(lookup, "job_number", "left")
         .withColumn("job_id", F.col("found_id"))
         .withColumn("business_unit_id", F.coalesce("business_unit_id", "found_unit"))
         .select(*invoices.columns)
     )
-    return invoices.where(~broken).unionByName(repaired)
+
+
+def repair_foreign_key(invoices: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Fill a missing job id, and then unit, through the job number.
+
+    Only rows to repair are looked up; the others pass without a shuffle.
+    """
+    broken = F.col("job_id").isNull() & F.col("job_number").isNotNull()
+    return invoices.where(~broken).unionByName(repaired_rows(invoices, jobs))
 
 
 def rebuild(rows: DataFrame, table: str) -> DataFrame:
