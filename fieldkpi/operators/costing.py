@@ -47,14 +47,15 @@ def job_dates_with_fallback(
     """Local start: first appointment, else completion, else creation."""
     base = jobs.select(F.col("id").alias("job_id"), "completed_on", "created_on")
     return base.join(job_dates(appointments, tz=tz), "job_id", "left").select(
-        "job_id",
-        F.coalesce(
-            "job_start_date", local_time("completed_on", tz), local_time("created_on", tz)
-        ).alias("job_start_date"),
-        "job_end_date",
+        "job_id", start_or_fallback("job_start_date", tz).alias("job_start_date"), "job_end_date"
     )
 
 
+def start_or_fallback(start: str, tz: str = BUSINESS_TZ) -> Column:
+    """A local start, else the job's local completion, else its local creation."""
+    return F.coalesce(start, local_time("completed_on", tz), local_time("created_on", tz))
+
+
 def invoice_rollup(invoices: DataFrame, *, item_types: Sequence[str] = ()) -> DataFrame:
     """Invoice sums per job; with ``item_types`` also the cost and number of the line
     items of those types, added up within each invoice so that one grouping does."""
@@ -199,19 +200,17 @@ def job_costing(
     ``fallback_local`` falls back to completion or creation.  All rollups and the job
     table meet on one hash partitioning of the job key.
     """
-    if date_rule == "fallback_local":
-        dates = job_dates_with_fallback(dim_jobs, appointments, tz=tz)
-    elif date_rule == "appointment_local":
-        dates = job_dates(appointments, tz=tz)
-    elif date_rule == "appointment_utc":
-        dates = job_dates(appointments)
-    else:
+    if date_rule not in ("fallback_local", "appointment_local", "appointment_utc"):
         raise ValueError(f"unknown date_rule {date_rule!r}")
+    fallback = date_rule == "fallback_local"
+    dates = job_dates(appointments, tz=None if date_rule == "appointment_utc" else tz)
+    dated = dim_jobs.withColumnRenamed("id", "job_id").join(dates, "job_id", "left" if fallback else "inner")
+    if fallback:
+        dated = dated.withColumn("job_start_date", start_or_fallback("job_start_date", tz))
 
     item_types = MATERIAL_ITEM_TYPES if include_invoice_materials else ()
     joined = (
-        dim_jobs.withColumnRenamed("id", "job_id")
-        .join(dates.where(F.col("job_start_date").isNotNull()), "job_id")
+        dated.where(F.col("job_start_date").isNotNull())
         .join(invoice_rollup(invoices, item_types=item_types), "job_id", "left")
         .join(labor_rollup(payroll, count_lines=count_lines), "job_id", "left")
         .join(purchase_order_rollup(purchase_orders), "job_id", "left")

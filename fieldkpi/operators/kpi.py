@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldkpi.functions.constants import (
@@ -23,6 +23,7 @@ from fieldkpi.functions.expr import (
     ends_with,
     is_test_name,
     local_date,
+    local_day_range,
     monday_week,
     money,
     or_zero,
@@ -255,6 +256,129 @@ def mean_close_rate(
     )
 
 
+def _within(column: str, since: str, window: tuple[str, str] | None) -> Column:
+    return F.col(column) >= utc_midnight(since) if window is None else day_range(column, *window) & (F.col(column) >= utc_midnight(since))
+
+
+def _job_events(
+    estimates: DataFrame, invoices: DataFrame, payments: DataFrame, since: str, as_of: str, floor: float, window: tuple[str, str] | None, tz: str
+) -> DataFrame:
+    """(job_id, event_date, kind, amount, n): what happened to a job on a day, summed per job, day and kind.
+
+    Each source is read once; a date window is a range on its bare date columns.  What stands open, and what is booked
+    ahead, has no day.  Summing before the jobs are met leaves a job with very many rows few of them.
+    """
+    sold_in = F.col("sold_on") >= utc_midnight(since)
+    if window is not None:
+        sold_in &= local_day_range("sold_on", *window, tz)
+    is_sold = F.col("status") == "Sold"
+    made_in = _within("created_on", since, window)
+
+    def event(kind: str, day: Column, amount: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), day.alias("event_date"), money(amount).alias("amount"))
+
+    def events(rows: DataFrame, *cases: tuple[Column, Column]) -> DataFrame:
+        """The events of each row whose condition holds."""
+        some = cases[0][0]
+        for condition, _ in cases[1:]:
+            some |= condition
+        own = F.filter(F.array(*[F.when(c, e) for c, e in cases]), lambda x: x.isNotNull())
+        return rows.where(F.col("job_id").isNotNull() & some).select("job_id", F.inline(own))
+
+    no_day = F.lit(None).cast("date")
+    ahead = (F.col("invoice_date") >= utc_midnight(marts.next_day(as_of))) & (F.col("invoice_date") < utc_midnight(marts.next_day(marts.plus_year(as_of))))
+    paid_in = F.col("created_on").isNotNull() if window is None else day_range("created_on", *window)
+    owner = invoices.where(F.col("job_id").isNotNull()).select(F.col("id").alias("invoice_id"), "job_id")
+    parts = [
+        events(
+            estimates,
+            (is_sold & sold_in, event("booked", local_date("sold_on", tz), F.col("subtotal"))),
+            (made_in, event("made", F.to_date("created_on"), F.when(is_sold, 1).otherwise(0))),
+        ),
+        events(invoices, (_within("invoice_date", since, window), event("invoiced", F.to_date("invoice_date"), F.col("total")))),
+        events(
+            invoices,
+            (ahead, event("ahead", no_day, F.col("total"))),
+            (F.col("balance") >= floor, event("open", no_day, F.col("balance"))),
+        ),
+        events(payments.where(paid_in).join(owner, "invoice_id"), (F.lit(True), event("paid", F.to_date("created_on"), F.col("amount")))),
+    ]
+    return union_all(parts).groupBy("job_id", "event_date", "kind").agg(F.sum("amount").alias("amount"), F.count("*").alias("n"))
+
+
+def _sales_days(dim_jobs: DataFrame, customers: DataFrame, since: str, window: tuple[str, str] | None, suffix: str) -> DataFrame:
+    """Lead customers by creation day and completed estimates by completion day, from one pass over the jobs."""
+    made, done = _within("created_on", since, window), _within("completed_on", since, window) & (F.col("job_status") == "Completed")
+    names = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
+    jobs = unit_jobs(dim_jobs, suffix).where(contains_ci("job_type_name", "estimate") & (made | done)).join(names, "customer_id", "left")
+    none = F.lit(None).cast("bigint")
+    days = F.array(
+        F.when(made & ~is_test_name("customer_name"), F.struct(F.to_date("created_on").alias("event_date"), F.col("customer_id").alias("lead"), none.alias("done"))),
+        F.when(done, F.struct(F.to_date("completed_on").alias("event_date"), none.alias("lead"), F.lit(1).cast("bigint").alias("done"))),
+    )
+    rows = jobs.select("business_unit", F.inline(F.filter(days, lambda x: x.isNotNull())))
+    per_customer = rows.groupBy(*KEYS, "lead").agg(F.sum("done").alias("done"))
+    return per_customer.groupBy(*KEYS).agg(F.count("lead").alias("lead_count"), F.sum("done").alias("num_estimates"))
+
+
+def ten_kpis(
+    dim_jobs: DataFrame,
+    customers: DataFrame,
+    estimates: DataFrame,
+    invoices: DataFrame,
+    payments: DataFrame,
+    cost_fact: DataFrame,
+    *,
+    since: str,
+    as_of: str,
+    excluded_types: Sequence[str],
+    warranty_types: Sequence[str] = WARRANTY_JOB_TYPES,
+    floor: float = RECEIVABLE_FLOOR,
+    window: tuple[str, str] | None = None,
+    units: Sequence[str] = (),
+    tz: str = BUSINESS_TZ,
+) -> DataFrame:
+    """The ten KPIs per day and unit; receivables and future bookings are snapshots per unit.
+
+    All that happens to jobs is brought together per job and day, meets the jobs with their cost once, and is summed
+    per day and unit.  ``window`` (both days included) reaches the scans, ``units`` the jobs.
+    """
+    if units:
+        dim_jobs, cost_fact = (df.where(F.col("business_unit").isin(*units)) for df in (dim_jobs, cost_fact))
+    events = _job_events(estimates, invoices, payments, since, as_of, floor, window, tz)
+    jobs = cost_fact.select("job_id", "business_unit", F.col("job_type").alias("job_type_name"), or_zero("total_cost").alias("cost"))
+    kind, amount, n = F.col("kind"), F.col("amount"), F.col("n")
+    included = ~F.coalesce(F.col("job_type_name").isin(*excluded_types), F.lit(False))
+    of_sales = ends_with("business_unit", SALES_SUFFIX) & (
+        (kind == "booked") | ((kind == "made") & contains_ci("job_type_name", "estimate"))
+    )
+    of_production = ends_with("business_unit", PRODUCTION_SUFFIX) & (kind.isin("invoiced", "paid", "open") | ((kind == "ahead") & included))
+    rows = events.join(jobs, "job_id").where(of_sales | of_production)
+
+    def total(condition: Column, value: Column = amount) -> Column:
+        return F.sum(F.when(condition, value))
+
+    invoiced = kind == "invoiced"
+    spent = F.col("cost") * n  # a job's cost counts with each of its invoices
+    revenue, all_revenue = total(invoiced & included), total(invoiced)
+    warranty = F.when(F.col("job_type_name").isin(*warranty_types), spent).otherwise(F.lit(0))
+    made = rows.groupBy(*KEYS).agg(
+        total(kind == "booked").cast("double").alias("total_booked"),
+        revenue.cast("double").alias("dollars_produced"),
+        F.when(revenue > 0, ratio(revenue - total(invoiced & included, spent), revenue) * 100.0).alias("gpm_percent"),
+        F.when(all_revenue > 0, ratio(total(invoiced, warranty), all_revenue) * 100.0).alias("warranty_percent"),
+        total(kind == "paid").cast("double").alias("dollars_collected"),
+        (ratio(total(kind == "made"), total(kind == "made", n)) * 100.0).alias("close_rate_percent"),
+        total(kind == "ahead").cast("double").alias("future_bookings"),
+        total(kind == "open").cast("double").alias("outstanding_ar"),
+    )
+    both = spine([_sales_days(dim_jobs, customers, since, window, SALES_SUFFIX), made], fill=False)
+    of_unit = Window.partitionBy("business_unit")  # a unit has a row for each day
+    snapshots = {c: F.max(c).over(of_unit) for c in ("future_bookings", "outstanding_ar")}
+    days = both.withColumns(snapshots).where(F.col("event_date").isNotNull())
+    return days.withColumns({c: F.coalesce(c, F.lit(0).cast(t)) for c, t in days.dtypes if c not in KEYS})
+
+
 def created_leads(
     dim_jobs: DataFrame, since: str, *, type_ids: Sequence[int], suffix: str = SALES_SUFFIX
 ) -> DataFrame:

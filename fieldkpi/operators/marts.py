@@ -288,7 +288,7 @@ def future_bookings_daily(
     Each (job, start) counts the job's invoice total once per appointment at that
     start; the total is computed once per job.
     """
-    after = utc_midnight(_next_day(as_of))
+    after = utc_midnight(next_day(as_of))
     open_appointments = appointments.where(
         (F.col("scheduled_start") >= after)
         & F.col("job_id").isNotNull()
@@ -333,7 +333,7 @@ def future_bookings_daily(
     )
 
 
-def _next_day(day: date | str) -> date:
+def next_day(day: date | str) -> date:
     return (day if isinstance(day, date) else date.fromisoformat(day)) + timedelta(days=1)
 
 
@@ -412,7 +412,7 @@ def jobs_by_zip(
     if start is not None and end is not None:
         done = F.col("completed_on")
         rows = rows.where(
-            done.isNull() | ((done >= utc_midnight(start)) & (done < utc_midnight(_next_day(end))))
+            done.isNull() | ((done >= utc_midnight(start)) & (done < utc_midnight(next_day(end))))
         )
     if job_type_ids:
         rows = rows.where(F.col("job_type_id").isin(*job_type_ids))
@@ -518,8 +518,8 @@ def future_bookings_by_invoice(
     unit_suffix: str = PRODUCTION_SUFFIX,
 ) -> DataFrame:
     """Invoices dated within the year after ``as_of``, without the excluded job types."""
-    first = _next_day(as_of)
-    last = utc_midnight(_next_day(_plus_year(as_of)))
+    first = next_day(as_of)
+    last = utc_midnight(next_day(plus_year(as_of)))
     unit = (
         dim_jobs.where(ends_with("business_unit", unit_suffix))
         .join(excluded_types, "job_type_name", "left_anti")
@@ -535,7 +535,7 @@ def future_bookings_by_invoice(
     )
 
 
-def _plus_year(day: date | str) -> date:
+def plus_year(day: date | str) -> date:
     d = day if isinstance(day, date) else date.fromisoformat(day)
     try:
         return d.replace(year=d.year + 1)

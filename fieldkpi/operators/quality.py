@@ -263,11 +263,12 @@ def any_status(status: str, text: str) -> Column:
 
 
 def suite_samples(checks: dict[str, Check], n: int = 5) -> DataFrame:
-    """The first rows of each check, as JSON."""
+    """The first rows of each check in the order of its columns, as JSON of texts, nulls included."""
     return union_all(
         [
             c.rows.orderBy(*c.rows.columns).limit(n).select(
-                F.lit(name).alias("check"), F.to_json(F.struct("*")).alias("sample")
+                F.lit(name).alias("check"),
+                F.to_json(F.struct(*[F.col(k).cast("string").alias(k) for k in c.rows.columns]), {"ignoreNullFields": "false"}).alias("sample"),
             )
             for name, c in checks.items()
         ]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldkpi.functions.constants import FLAG_RED
-from fieldkpi.functions.expr import local_date, percent, sum_money
+from fieldkpi.functions.expr import day_range, local_date, percent, sum_money
 from fieldkpi.operators import costing, diagnostics, marts, quality, reconcile
 from fieldkpi.operators.quality import Check, Metric
 from fieldkpi.operators.reconcile import COUNT_BAND, DOLLAR_BAND, MARGIN_BAND, WARRANTY_BAND
@@ -275,7 +275,25 @@ def _(d: Domain) -> DataFrame:
     return quality.run_suite(_suite(d))
 
 
-@query("dq_05_suite_samples")
+def _sample_rows(name: str, table: str) -> str:
+    """The first five rows of a check in the order of its columns, as JSON of texts."""
+    return (
+        f"SELECT '{name}' AS \"check\", CAST(to_json(x) AS VARCHAR) AS sample FROM (SELECT CAST(COLUMNS(*) AS VARCHAR)"
+        f" FROM (SELECT * FROM {table} ORDER BY ALL NULLS FIRST LIMIT 5)) x"
+    )
+
+
+@query(
+    "dq_05_suite_samples",
+    " UNION ALL ".join(
+        [
+            _sample_rows("Coverage by Month", "monthly"),
+            _sample_rows("Join Integrity", "integrity"),
+            _sample_rows("Data Quality Stoplight", "stoplight_rows"),
+        ]
+    ),
+    **_SUITE,
+)
 def _(d: Domain) -> DataFrame:
     return quality.suite_samples(_suite(d))
 
@@ -615,20 +633,31 @@ def _market(u: str) -> str:
     return f"replace(replace({u}, '-Sales', ''), '-Production', '')"
 
 
+_SPAN = ("1996-01-01", "1997-06-30")
+
+
+def _spanned(column: str) -> str:
+    return f"CAST({column} AS DATE) BETWEEN DATE '{_SPAN[0]}' AND DATE '{_SPAN[1]}'"
+
+
+_PAYMENT_SPAN = ("2024-01-01", "2024-01-20")
 _CONSOLIDATE = {
-    "c_leads": """SELECT business_unit, COUNT(DISTINCT customer_id) AS leads FROM leads_jobs
-        WHERE business_unit LIKE '%-Sales' GROUP BY 1""",
+    "c_leads": f"""SELECT business_unit, COUNT(DISTINCT customer_id) AS leads FROM leads_jobs
+        WHERE business_unit LIKE '%-Sales' AND {_spanned('lead_date')} GROUP BY 1""",
     "c_booked": f"""SELECT business_unit, {dsum('revenue_amount')} AS total_booked FROM sold_estimates
-        WHERE business_unit LIKE '%-Sales' GROUP BY 1""",
-    "c_done": """SELECT business_unit, COUNT(*) AS estimates FROM completed_estimates_jobs
-        WHERE business_unit LIKE '%-Sales' GROUP BY 1""",
+        WHERE business_unit LIKE '%-Sales' AND {_spanned('sold_date')} GROUP BY 1""",
+    "c_done": f"""SELECT business_unit, COUNT(*) AS estimates FROM completed_estimates_jobs
+        WHERE business_unit LIKE '%-Sales' AND {_spanned('completed_date')} GROUP BY 1""",
     "c_prod": f"""SELECT business_unit, {rsum('revenue_subtotal')} AS dollars_produced,
-        {pct('SUM(gross_profit)', 'SUM(revenue_subtotal)')} AS gpm_pct FROM production_jobs GROUP BY 1""",
+        {pct('SUM(gross_profit)', 'SUM(revenue_subtotal)')} AS gpm_pct FROM production_jobs
+        WHERE {_spanned('start_date')} GROUP BY 1""",
     "c_paid": f"""SELECT j.business_unit, {dsum('p.amount')} AS dollars_collected FROM payments p
         JOIN invoices i ON p.invoice_id = i.id JOIN dim_jobs j ON i.job_id = j.id
-        WHERE j.business_unit LIKE '%-Production' GROUP BY 1""",
+        WHERE j.business_unit LIKE '%-Production'
+          AND CAST(p.created_on AS DATE) BETWEEN DATE '{_PAYMENT_SPAN[0]}' AND DATE '{_PAYMENT_SPAN[1]}' GROUP BY 1""",
     "c_ar": f"""SELECT j.business_unit, {dsum('i.balance')} AS outstanding_ar FROM invoices i
-        JOIN dim_jobs j ON i.job_id = j.id WHERE i.balance >= 10 AND j.business_unit LIKE '%-Production' GROUP BY 1""",
+        JOIN dim_jobs j ON i.job_id = j.id WHERE i.balance >= 10 AND j.business_unit LIKE '%-Production'
+          AND CAST(i.created_on AS DATE) <= DATE '{_SPAN[1]}' GROUP BY 1""",
 }
 
 
@@ -645,22 +674,27 @@ _CONSOLIDATE = {
     **_CONSOLIDATE,
 )
 def _(d: Domain) -> DataFrame:
-    def sales(df: DataFrame) -> DataFrame:
-        return df.where(F.col("business_unit").like("%-Sales")).groupBy("business_unit")
+    """Each branch in the window by its own date, receivables as they stood at its end; payments are of another time."""
+    paid_span = _PAYMENT_SPAN
+
+    def sales(df: DataFrame, column: str) -> DataFrame:
+        return df.where(F.col("business_unit").like("%-Sales") & F.col(column).between(*_SPAN)).groupBy("business_unit")
 
-    made = production(d).groupBy("business_unit").agg(
+    made = production(d).where(day_range("start_date", *_SPAN)).groupBy("business_unit").agg(
         F.round(sum_money("revenue_subtotal"), 2).cast("double").alias("dollars_produced"),
         percent(sum_money("gross_profit"), sum_money("revenue_subtotal")).alias("gpm_pct"),
     )
-    paid = marts.payments_with_unit(d.payments(), d.invoices(), d.dim_jobs()).groupBy("business_unit")
+    payments = d.payments().where(day_range("created_on", *paid_span))
+    paid = marts.payments_with_unit(payments, d.invoices(), d.dim_jobs()).groupBy("business_unit")
+    issued = d.invoices().where(day_range("created_on", "1900-01-01", _SPAN[1]))
     return reconcile.by_market(
         [
-            sales(leads(d)).agg(F.countDistinct("customer_id").alias("leads")),
-            sales(sold(d)).agg(F.sum("revenue_amount").cast("double").alias("total_booked")),
-            sales(completed(d)).agg(F.count("*").alias("estimates")),
+            sales(leads(d), "lead_date").agg(F.countDistinct("customer_id").alias("leads")),
+            sales(sold(d), "sold_date").agg(F.sum("revenue_amount").cast("double").alias("total_booked")),
+            sales(completed(d), "completed_date").agg(F.count("*").alias("estimates")),
             made,
             paid.agg(sum_money("amount").cast("double").alias("dollars_collected")),
-            marts.receivables_with_floor(d.invoices(), d.dim_jobs()),
+            marts.receivables_with_floor(issued, d.dim_jobs()),
         ]
     )
 
@@ -685,7 +719,7 @@ def week_by_unit(d: Domain) -> DataFrame:
         return total.alias(c)
 
     inside = F.col("event_date").between(*[F.lit(x).cast("date") for x in WEEK])
-    return ten_kpis(d).where(inside).groupBy("business_unit").agg(*[measure(c) for c in _TEN])
+    return ten_kpis(d, WEEK).where(inside).groupBy("business_unit").agg(*[measure(c) for c in _TEN])
 
 
 def _week_measure(c: str) -> str:
@@ -1452,9 +1486,12 @@ def _(d: Domain) -> DataFrame:
     return diagnostics.batch_extents(d.report_job_cost())
 
 
+_DAY = ("1998-03-04", "1998-03-04")
+
+
 @query("dgn_15_kpi_day_units", "SELECT * FROM ten_kpis WHERE event_date = DATE '1998-03-04'", **TEN_KPI_SQL)
 def _(d: Domain) -> DataFrame:
-    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04")
+    return diagnostics.kpi_day(ten_kpis(d, _DAY), "1998-03-04")
 
 
 @query(
@@ -1463,7 +1500,7 @@ def _(d: Domain) -> DataFrame:
     **TEN_KPI_SQL,
 )
 def _(d: Domain) -> DataFrame:
-    return diagnostics.kpi_day(ten_kpis(d), "1998-03-04", "NATION_17-Production")
+    return diagnostics.kpi_day(ten_kpis(d, _DAY, ("NATION_17-Production",)), "1998-03-04", "NATION_17-Production")
 
 
 def _m(c: str) -> str:
@@ -1480,7 +1517,7 @@ def _m(c: str) -> str:
     **TEN_KPI_SQL,
 )
 def _(d: Domain) -> DataFrame:
-    return diagnostics.kpi_window(ten_kpis(d), *WEEK)
+    return diagnostics.kpi_window(ten_kpis(d, WEEK), *WEEK)
 
 
 def _types(n: int) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -133,24 +135,21 @@ DAILY = BRANCH_SQL | {"daily_kpis": _value_sql(_SIX)}
 # --- KPI tables --------------------------------------------------------------------------
 
 
-def ten_kpis(d: Domain) -> DataFrame:
+def ten_kpis(d: Domain, window: tuple[str, str] | None = None, units: Sequence[str] = ()) -> DataFrame:
     """The ten-KPI table; receivables and future bookings are snapshots per unit."""
-    dim, invoices, estimates = d.dim_jobs(), d.invoices(), d.estimates()
-    excluded = NON_PRODUCTION_JOB_TYPES
-    daily = [
-        kpi.lead_customers(dim, d.customers(), SINCE),
-        kpi.booked(estimates, dim, SINCE),
-        kpi.invoice_margin(invoices, dim, job_cost_fact(d), SINCE, excluded_types=excluded),
-        kpi.collected(d.payments(), invoices, dim, SINCE).drop("payment_count"),
-        kpi.completed_estimates(dim, SINCE),
-        kpi.mean_close_rate(estimates, dim, SINCE),
-    ]
-    types = d.job_types().where(F.col("name").isin(*excluded)).select(F.col("name").alias("job_type_name"))
-    snapshots = [
-        marts.future_bookings_by_invoice(invoices, dim, types, AS_OF),
-        marts.receivables_with_floor(invoices, dim),
-    ]
-    return kpi.spine(daily, snapshots)
+    return kpi.ten_kpis(
+        d.dim_jobs(),
+        d.customers(),
+        d.estimates(),
+        d.invoices(),
+        d.payments(),
+        job_cost_fact(d),
+        since=SINCE,
+        as_of=AS_OF,
+        excluded_types=NON_PRODUCTION_JOB_TYPES,
+        window=window,
+        units=units,
+    )
 
 
 TEN_KPI_SQL = FACT | {
@@ -721,7 +720,7 @@ KPI_WEEKS = TEN_KPI_SQL | {
 @query("per_07_weekly_kpi_summary", "SELECT * FROM kpi_weeks", **KPI_WEEKS)
 def kpi_weeks(d: Domain) -> DataFrame:
     """Twelve whole weeks."""
-    return periods.weekly_kpi_summary(ten_kpis(d), "1998-01-05", "1998-03-29")
+    return periods.weekly_kpi_summary(ten_kpis(d, ("1998-01-05", "1998-03-29")), "1998-01-05", "1998-03-29")
 
 
 @query(

@@ -112,3 +112,18 @@ def test_no_pair_products_and_no_python(spark, name):
     text = plan(spark, name)
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval"):
         assert word not in text
+
+
+def scans(spark, name: str) -> int:
+    return entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_kpis_read_each_source_few_times(spark):
+    """All ten KPIs come from one pass over each source but the jobs and invoices, which their costing reads too."""
+    assert scans(spark, "kpi_01_ten_kpis") <= 19
+    assert scans(spark, "jct_12_job_costing_fallback_dates") <= 8
+
+
+def test_a_window_of_kpis_reaches_the_scan(spark):
+    text = plan(spark, "dgn_15_kpi_day_one_unit")
+    assert "GreaterThanOrEqual(ts,1998-03-04T00:00), LessThan(ts,1998-03-05T00:00)" in text
