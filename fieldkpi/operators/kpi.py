@@ -127,37 +127,6 @@ def _named_jobs(jobs: DataFrame, *columns: str) -> DataFrame:
     return jobs.select(F.col("id").alias("job_id"), "business_unit", *columns)
 
 
-def lead_customers(
-    dim_jobs: DataFrame, customers: DataFrame, since: str, *, suffix: str = SALES_SUFFIX
-) -> DataFrame:
-    """Distinct customers of estimate jobs by UTC creation day."""
-    names = customers.select(F.col("id").alias("customer_id"), F.col("name").alias("customer_name"))
-    return (
-        unit_jobs(dim_jobs, suffix)
-        .where(contains_ci("job_type_name", "estimate") & (F.col("created_on") >= utc_midnight(since)))
-        .join(names, "customer_id", "left")
-        .where(~is_test_name("customer_name"))
-        .groupBy(*_keys(F.to_date("created_on")))
-        .agg(F.countDistinct("customer_id").alias("lead_count"))
-    )
-
-
-def booked(
-    estimates: DataFrame,
-    dim_jobs: DataFrame,
-    since: str,
-    *,
-    suffix: str = SALES_SUFFIX,
-    tz: str = BUSINESS_TZ,
-) -> DataFrame:
-    return (
-        estimates.where((F.col("status") == "Sold") & (F.col("sold_on") >= utc_midnight(since)))
-        .join(_named_jobs(unit_jobs(dim_jobs, suffix)), "job_id")
-        .groupBy(*_keys(local_date("sold_on", tz)))
-        .agg(sum_money("subtotal").cast("double").alias("total_booked"))
-    )
-
-
 def _costed_invoices(
     invoices: DataFrame, dim_jobs: DataFrame, cost_fact: DataFrame, since: str, suffix: str
 ) -> DataFrame:
@@ -227,21 +196,6 @@ def collected(
     )
 
 
-def completed_estimates(
-    dim_jobs: DataFrame, since: str, *, suffix: str = SALES_SUFFIX
-) -> DataFrame:
-    return (
-        unit_jobs(dim_jobs, suffix)
-        .where(
-            (F.col("completed_on") >= utc_midnight(since))
-            & (F.col("job_status") == "Completed")
-            & contains_ci("job_type_name", "estimate")
-        )
-        .groupBy(*_keys(F.to_date("completed_on")))
-        .agg(F.count("*").alias("num_estimates"))
-    )
-
-
 def mean_close_rate(
     estimates: DataFrame, dim_jobs: DataFrame, since: str, *, suffix: str = SALES_SUFFIX
 ) -> DataFrame:

@@ -1437,7 +1437,7 @@ _EVENT_SCHEMA = (
 def _(d: Domain) -> DataFrame:
     """The newest event of each user, from a stream of events."""
     table = new_folder(d.spark, "stream-table")
-    stream = streams.read_landed(d.spark, d.sf_dir, _EVENT_SCHEMA, files="events.parquet").select(
+    stream = streams.read_landed(d.spark, d.sf_dir, _EVENT_SCHEMA, pattern="events.parquet").select(
         "user_id", F.col("ts").alias("modified_on"), "value"
     )
     streams.stream_upsert(
@@ -1459,7 +1459,7 @@ def _(d: Domain) -> DataFrame:
 def _(d: Domain) -> DataFrame:
     """Days that are closed, an hour behind the newest event."""
     out = new_folder(d.spark, "daily-totals")
-    stream = streams.read_landed(d.spark, d.sf_dir, _EVENT_SCHEMA, files="events.parquet").select(
+    stream = streams.read_landed(d.spark, d.sf_dir, _EVENT_SCHEMA, pattern="events.parquet").select(
         "ts", F.col("event_type").alias("unit"), F.col("value").cast("decimal(14,2)").alias("value")
     )
     streams.stream_daily_totals(
@@ -1472,3 +1472,29 @@ def _(d: Domain) -> DataFrame:
         checkpoint=new_folder(d.spark, "stream-totals"),
     )
     return d.spark.read.parquet(out)
+
+
+_HALF_WAY = "2024-01-21 00:00:00"
+
+
+@query(
+    "str_02_closed_days",
+    f"""SELECT CAST(ts AS DATE) AS day, event_type AS unit, COUNT(*) AS n, CAST(SUM({EVENT_VALUE}) AS DOUBLE) AS total,
+               COUNT(*) FILTER (ts < TIMESTAMP '{_HALF_WAY}' AND event_id % 10 >= 8) AS late
+        FROM events GROUP BY 1, 2""",
+)
+def _(d: Domain) -> DataFrame:
+    """Events in three landed files out of order: most of the first days, all later days, and what was left of the first.
+    The last revision of each day counts; the last days come out when the stream ends."""
+    folder, store = new_folder(d.spark, "landed"), new_store(d)
+    events = d.table("events").withColumn("value", F.col("value").cast("decimal(14,2)"))
+    early, rest = F.col("ts") < F.expr(f"TIMESTAMP_NTZ'{_HALF_WAY}'"), F.col("event_id") % 10 >= 8
+    for part in (events.where(early & ~rest), events.where(~early), events.where(early & rest)):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        stream = streams.read_landed(d.spark, folder, ", ".join(f"{n} {t}" for n, t in events.dtypes))
+        streams.stream_closed_days(
+            stream, store, "days", event_time="ts", unit="event_type", amount="value", lookback=timedelta(hours=1), checkpoint=f"{store.root}/checkpoint"
+        )
+    streams.close_days(store, "days")
+    last = dedupe.dedupe_latest(store.read("days").drop("cell_day"), ["day", "unit"], [F.desc("revision")])
+    return last.select("day", "unit", "n", F.col("total").cast("double").alias("total"), "late")
