@@ -370,6 +370,33 @@ def _(d: Domain) -> DataFrame:
     return store.read("booked").drop("day")
 
 
+def status_counts(jobs: DataFrame) -> DataFrame:
+    """Jobs per day of their last change, unit and status."""
+    return jobs.groupBy(F.to_date("modified_on").alias("kpi_date"), "business_unit_id", "job_status").agg(F.count("*").alias("jobs"))
+
+
+@query(
+    "snk_08_changed_days",
+    f"""SELECT CAST(modified_on AS DATE) AS kpi_date, business_unit_id, job_status, COUNT(*) AS jobs
+        FROM ({_UPSERTED}) GROUP BY 1, 2, 3""",
+)
+def _(d: Domain) -> DataFrame:
+    """A mart that follows an upsert of its source by the days that changed, in the same commit."""
+    store = new_store(d)
+
+    def first(t: Transaction) -> None:
+        add(t, "jobs", first_load(d), Layout(("id",), "modified_on"))
+        add(t, "status", status_counts(t.read("jobs")), Layout(day="kpi_date"))
+
+    def second(t: Transaction) -> None:
+        t.upsert("jobs", changed_jobs(d), dedupe.newest(*_NEWEST), changes="job_changes")
+        sinks.refresh_changed(t, "status", "jobs", t.read("job_changes"), "modified_on", status_counts)
+
+    store.run("first", first)
+    store.run("second", second)
+    return store.read("status").drop("day")
+
+
 @query(
     "snk_09_snapshot",
     f"""SELECT DATE '1999-12-31' AS snapshot_date, business_unit, CAST(0 AS DOUBLE) AS outstanding_ar FROM ar
@@ -1365,6 +1392,28 @@ def _(d: Domain) -> DataFrame:
     return schema_ops.profile(order_records(d))
 
 
+@query(
+    "sch_01_nested_fields",
+    f"""SELECT * FROM (VALUES ('id', 'INT64', {_N}, CAST(0 AS BIGINT)), ('tags', 'ARRAY<STRING>', {_N}, 0),
+        ('marks', 'ARRAY<FLOAT64>', {_N}, 0), ('days', 'ARRAY<TIMESTAMP>', {_N}, 0), ('none', 'ARRAY<STRING>', {_N}, 0),
+        ('lines', 'ARRAY<JSON>', {_N}, 0), ('customer', 'JSON', {_N}, 0), ('customer.id', 'INT64', {_N}, 0),
+        ('customer.since', 'DATE', {_N}, 0), ('customer.place', 'JSON', {_N}, 0),
+        ('either', 'STRING', {_N}, (SELECT COUNT(*) FROM orders WHERE o_orderpriority = '5-LOW')))
+        t(field, inferred_type, n_present, n_null)""",
+)
+def _(d: Domain) -> DataFrame:
+    """Arrays by the elements of all rows, and the fields of objects one level down."""
+    low, day = "o_orderpriority = '5-LOW'", "date_format(o_orderdate, 'yyyy-MM-dd')"
+    records = d.table("orders").selectExpr(
+        "concat('{\"id\":', o_orderkey, ',\"none\":[],\"tags\":', CASE WHEN o_orderstatus = 'F' THEN '[]' ELSE '[\"a\",null]' END,"
+        f" ',\"marks\":', CASE WHEN {low} THEN '[1,2.5]' ELSE '[3]' END,"
+        f" ',\"days\":[\"', {day}, '\"', CASE WHEN {low} THEN ',\"2020-01-01T00:00:00\"' ELSE '' END, '],\"lines\":[{{\"n\":1}}]',"
+        f" ',\"either\":', CASE WHEN {low} THEN 'null' WHEN o_orderpriority = '2-HIGH' THEN '[1]' ELSE '7' END,"
+        f" ',\"customer\":{{\"id\":', o_custkey, ',\"since\":\"', {day}, '\",\"place\":{{\"zip\":1}}}}}}') AS record"
+    )
+    return schema_ops.profile(records, depth=2)
+
+
 @query(
     "sch_02_validation",
     f"""SELECT 'total' AS field, 'warning' AS level, 'type_mismatch' AS issue, 'INT64' AS expected_type,

@@ -305,6 +305,17 @@ class Transaction:
         self._swap(table, touched, known_columns(kept, state.schema).unionByName(known_columns(rows, state.schema)))
         return Change(total, len(touched), len(touched), 0, 0)
 
+    def replace_days(self, table: str, rows: DataFrame, days: Sequence[date]) -> Change:
+        """The given rows in place of the files of these days; both are of no other day."""
+        state = self.tables[table]
+        total, gone = 0, []
+        if state.parts:
+            manifest = self.store.manifest(state)
+            total = manifest.count()
+            gone = [r.path for r in manifest.where(F.col("day").isin(*days)).select("path").collect()] if days else []
+        self._swap(table, gone, known_columns(rows, state.schema))
+        return Change(total, len(gone), len(gone), 0, 0)
+
     def upsert(
         self, table: str, batch: DataFrame, order: Sequence[Column], *, keep_newer: bool = False, changes: str | None = None
     ) -> Change:

@@ -193,12 +193,28 @@ def test_calendar_and_literals(spark):
 # --- schema checks ----------------------------------------------------------------------
 
 
+def test_types_of_arrays_and_nested_fields_join_over_all_rows(spark):
+    rows_ = ['{"a":[1],"b":[],"c":[[1]],"d":[{"x":1}],"e":[null],"f":[1],"o":{"x":1,"y":[true]}}', '{"a":[2.5,3],"b":[],"c":[],"d":[],"e":[],"f":"t","o":{"x":"s"}}',
+             '{"a":[],"g":["2020-01-01"],"o":null}', "no json", '{"g":["2020-01-01T00:00:00"],"h":["x",1]}']
+    records = spark.createDataFrame([(r,) for r in rows_], "record string").repartition(3)
+    got = {r.field: (r.inferred_type, r.n_present, r.n_null) for r in schema_ops.profile(records, depth=2).where("field IS NOT NULL").collect()}
+    assert got == {
+        "a": ("ARRAY<FLOAT64>", 3, 0), "b": ("ARRAY<STRING>", 2, 0), "c": ("ARRAY<JSON>", 2, 0), "d": ("ARRAY<JSON>", 2, 0),
+        "e": ("ARRAY<STRING>", 2, 0), "f": ("STRING", 2, 0), "g": ("ARRAY<TIMESTAMP>", 2, 0), "h": ("ARRAY<STRING>", 1, 0),
+        "o": ("JSON", 3, 1), "o.x": ("STRING", 2, 0), "o.y": ("ARRAY<BOOL>", 1, 0),
+    }
+    registry = {"n": ("ARRAY<INT64>", False), "t": ("ARRAY<DATE>", True)}
+    assert schema_ops.table_schema(registry).simpleString() == "struct<n:array<bigint>,t:array<date>>"
+    coerced = schema_ops.coerce(spark.createDataFrame([("[1,2]", "x")], "n string, t string"), registry).first()
+    assert coerced.n == [1, 2] and coerced.t is None
+
+
 def test_profile_and_validation(spark):
     records = spark.createDataFrame(
         [('{"a":1,"b":"2025-01-01","c":null,"e":[1]}',), ('{"a":1.5,"b":"2025-01-01T00:00:00","d":{"x":1}}',)], "record string")
     got = by(schema_ops.profile(records), "field")
     assert {f: r["inferred_type"] for f, r in got.items()} == {
-        "a": "FLOAT64", "b": "TIMESTAMP", "c": "STRING", "d": "JSON", "e": "ARRAY"}
+        "a": "FLOAT64", "b": "TIMESTAMP", "c": "STRING", "d": "JSON", "e": "ARRAY<INT64>"}
     registry = {"a": ("FLOAT64", True), "c": ("STRING", True), "z": ("STRING", False), "b": ("DATE", False)}
     issues = by(schema_ops.validate(records, registry), "field")
     assert issues["c"]["level"] == "error" and issues["c"]["n_missing"] == 2

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldkpi.sources import files, loads
+from fieldkpi.sources import files, loads, sinks
 from fieldkpi.sources.store import CELLS, Conflict, Layout, Store, evolved, key_cells
 
 JOBS = "id bigint, status string, modified_on timestamp_ntz"
@@ -208,6 +208,30 @@ def test_changes_of_an_upsert(store, jobs):
     assert got == sorted([(1, "a", -1), (1, "b", 1), (3, "b", 1), (None, "k", 1)], key=str)
 
 
+def test_a_mart_follows_the_days_that_changed(store, jobs):
+    def counts(rows):
+        return rows.groupBy(F.to_date("modified_on").alias("kpi_date"), "status").agg(F.count("*").alias("n"))
+
+    def first(t):
+        t.ensure("jobs", schema(JOBS), LAYOUT)
+        t.append("jobs", jobs([(100 * d + k, "a", at(d)) for d in range(12) for k in range(3)]))
+        t.ensure("mart", schema("kpi_date date, status string, n bigint"), Layout(day="kpi_date"))
+        t.append("mart", counts(t.read("jobs")))
+
+    def second(t):
+        # one row moves, one is new, and the last of day 7 leaves it
+        t.upsert("jobs", jobs([(300, "b", at(5)), (999, "b", at(9)), *[(700 + k, "b", at(8)) for k in range(3)]]), newest(), changes="log")
+        plan = t.read("jobs").where(F.col("day").isin(*sinks.changed_days(t.read("log"), "modified_on")))
+        assert "PartitionFilters: [day" in plan._jdf.queryExecution().toString()
+        return sinks.refresh_changed(t, "mart", "jobs", t.read("log"), "modified_on", counts)
+
+    store.run("first", first)
+    change = store.run("second", second)
+    assert (change.files, change.rewritten) == (12, 5)  # days 3, 5, 7, 8 and 9
+    got = sorted((r.kpi_date, r.status, r.n) for r in store.read("mart").collect())
+    assert got == sorted((r.kpi_date, r.status, r.n) for r in counts(store.read("jobs")).collect())
+
+
 # --- loads ----------------------------------------------------------------------
 
 
