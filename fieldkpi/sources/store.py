@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 from datetime import date
 
@@ -28,6 +29,8 @@ from fieldkpi.sources.tables import known_columns
 CELLS = 256
 #: Manifests of a table before an append gathers them into one.
 PARTS = 24
+#: Rows, and days, for which a write takes one more task.
+TASK_ROWS, TASK_DAYS = 1_000_000, 32
 #: Files that one task looks up when a table is read.
 LOOKED_UP = 256
 #: Turns that a load takes when others commit at the same time.
@@ -178,12 +181,19 @@ class Store:
         return self._scan(table, own, paths).select(*schema.names)
 
     def _scan(self, table: str, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
-        """Files of a table.  Spark looks each of them up, by default in a task of its own; a few tasks do for many files."""
-        base, setting = self.data(table), "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+        """Files of a table."""
+        base = self.data(table)
+        with self.looking_up(len(paths)):
+            return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths])
+
+    @contextmanager
+    def looking_up(self, n: int) -> Iterator[None]:
+        """While Spark looks up n files or folders, by default each in a task of its own: few tasks do for many."""
+        setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
         before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, str(max(1, min(int(before), len(paths) // LOOKED_UP))))
+        self.spark.conf.set(setting, str(max(1, min(int(before), n // LOOKED_UP))))
         try:
-            return self.spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths])
+            yield
         finally:
             self.spark.conf.set(setting, before)
 
@@ -408,8 +418,10 @@ class Transaction:
             rows, by = rows.withColumn(layout.folder, F.to_date(layout.day)), [layout.folder]
         order = [*by, *layout.cluster, *[k for k in layout.keys if k not in layout.cluster]]
         ranges = [*by, *layout.keys] or None
+        days = 0
         if ranges:
-            rows = rows.repartitionByRange(*ranges).sortWithinPartitions(*order)
+            tasks, days = self._tasks(rows, by)
+            rows = rows.repartitionByRange(tasks, *ranges).sortWithinPartitions(*order)
         write = f"write=w{uuid.uuid4().hex}"
         rows.write.partitionBy(*by).parquet(f"{base}/{write}")
         if not any(n.startswith(("part-", f"{layout.folder}=")) for n in files.names(self.spark, f"{base}/{write}")):
@@ -417,7 +429,8 @@ class Transaction:
         kind = _manifest_schema(state)["low"].dataType
         key = F.col(layout.keys[0]).cast(kind) if layout.keys else F.lit(None).cast(kind)
         schema = state.schema if not by else T.StructType([*state.schema.fields, T.StructField(layout.folder, T.DateType())])
-        own = self.spark.read.schema(schema).parquet(f"{base}/{write}")
+        with self.store.looking_up(days):
+            own = self.spark.read.schema(schema).parquet(f"{base}/{write}")
         path = F.concat(F.lit(f"{write}/"), F.element_at(F.split("_metadata.file_path", f"{write}/"), 2))
         day = F.first(layout.folder) if by else F.lit(None).cast("date")
         listed = own.withColumn("path", path).groupBy("path").agg(
@@ -425,6 +438,15 @@ class Transaction:
         )
         return self._manifest(table, listed)
 
+    def _tasks(self, rows: DataFrame, by: list[str]) -> tuple[int, int]:
+        """How many tasks write, and about how many days: enough for the rows and, as each day is a file at least, for those.
+
+        Counted over the day column alone.  Adaptive execution sees bytes only, and would give few rows of many days
+        to one task.
+        """
+        n, days = rows.agg(F.count("*"), F.approx_count_distinct(by[0]) if by else F.lit(0)).first()
+        return min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1 + n // TASK_ROWS + days // TASK_DAYS), days
+
     def _manifest(self, table: str, listed: DataFrame) -> str | None:
         part = f"{self.store.root}/{table}/manifests/{uuid.uuid4().hex}"
         listed.write.parquet(part)
