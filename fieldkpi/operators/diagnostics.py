@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,9 +95,12 @@ def population_by_date_basis(
         "production_jobs_view": F.col("in_view"),
         "any_financial_activity": F.col("inv_date") | F.col("po") | F.col("pay"),
     }
-    totals = rows.agg(
-        *[count_if(test).alias(f"n{i}") for i, test in enumerate(variants.values())],
-        *[F.countDistinct(F.when(test, F.col("business_unit_id"))).alias(f"u{i}") for i, test in enumerate(variants.values())],
+    # per unit first: a unit counts where any of its jobs does, without a copy of the rows for each variant
+    per_unit = rows.groupBy("business_unit_id").agg(*[count_if(test).alias(f"n{i}") for i, test in enumerate(variants.values())])
+    known = F.col("business_unit_id").isNotNull()
+    totals = per_unit.agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(variants))],
+        *[count_if(known & (F.col(f"n{i}") > 0)).alias(f"u{i}") for i in range(len(variants))],
     )
     out = labelled_rows(
         totals,
@@ -116,9 +120,13 @@ def lead_funnel(
     estimate = in_unit & contains_ci("job_type_name", "estimate")
     real = estimate & ~is_test_name("customer_name")
     steps = [("Jobs created", F.lit(True)), ("In unit", in_unit), ("Estimate jobs", estimate), ("Real customers", real)]
-    totals = rows.agg(
-        *[count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(steps)],
-        *[F.countDistinct(F.when(test, F.col("customer_id"))).alias(f"c{i}") for i, (_, test) in enumerate(steps)],
+    # the steps that a job passes are bits; a customer has those of all their jobs
+    bits = reduce(lambda x, y: x.bitwiseOR(y), [F.when(test, 1 << i).otherwise(0) for i, (_, test) in enumerate(steps)])
+    per_customer = rows.groupBy("customer_id").agg(F.bit_or(bits).alias("bits"), *[count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(steps)])
+    known = F.col("customer_id").isNotNull()
+    totals = per_customer.agg(
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(steps))],
+        *[count_if(known & (F.col("bits").bitwiseAND(1 << i) > 0)).alias(f"c{i}") for i in range(len(steps))],
     )
     return labelled_rows(
         totals,
@@ -371,9 +379,9 @@ def appointment_facts(
 def status_profile(
     job_list: DataFrame, jobs: DataFrame, appointments: DataFrame, invoices: DataFrame
 ) -> DataFrame:
-    """Per job status: how many listed jobs have each date, and its range."""
-    appt = appointments.groupBy("job_id").agg(F.to_date(F.min("scheduled_start")).alias("appt"))
-    inv = invoices.where(F.col("job_id").isNotNull()).groupBy("job_id").agg(
+    """Per job status: how many listed jobs have each date, and its range.  Only rows of listed jobs are grouped."""
+    appt = _listed(appointments, job_list).groupBy("job_id").agg(F.to_date(F.min("scheduled_start")).alias("appt"))
+    inv = _listed(invoices, job_list).groupBy("job_id").agg(
         F.to_date(F.min("invoice_date")).alias("inv")
     )
     rows = (

@@ -127,3 +127,8 @@ def test_kpis_read_each_source_few_times(spark):
 def test_a_window_of_kpis_reaches_the_scan(spark):
     text = plan(spark, "dgn_15_kpi_day_one_unit")
     assert "GreaterThanOrEqual(ts,1998-03-04T00:00), LessThan(ts,1998-03-05T00:00)" in text
+
+
+@pytest.mark.parametrize("name", ["dgn_01_population_by_date_basis", "dgn_03_lead_funnel"])
+def test_steps_are_counted_without_copies_of_the_rows(spark, name):
+    assert "Expand" not in entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
