@@ -27,19 +27,25 @@ def _smaller(t: np.ndarray) -> np.ndarray:
     """True where a suffix is smaller than the one after it; the last one, a sentinel, is."""
     n = len(t)
     differ = np.append(np.flatnonzero(t[1:] != t[:-1]), n - 1)
-    next_differ = differ[np.searchsorted(differ, np.arange(n))]
+    next_differ = differ.repeat(np.diff(differ, prepend=-1))
     up = np.ones(n, bool)
     up[:-1] = t[1:] > t[:-1]
     return up[next_differ]
 
 
 def _ranks(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Stable order by bucket, rank within the bucket, the buckets and their sizes."""
-    order = np.argsort(c, kind="stable")
+    """Stable order by bucket, rank within the bucket, the buckets and their sizes; called for every block of a scan."""
+    order = c.argsort(kind="stable")
     s = c[order]
-    first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-    sizes = np.diff(np.append(first, len(s)))
-    return order, np.arange(len(s)) - np.repeat(first, sizes), s[first], sizes
+    new = np.empty(len(s), bool)
+    new[:1] = True
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    first = new.nonzero()[0]
+    sizes = np.empty(len(first), np.int64)
+    sizes[-1:] = len(s)
+    sizes[:-1] = first[1:]
+    sizes -= first
+    return order, np.arange(len(s)) - first.repeat(sizes), s[first], sizes
 
 
 def _induce(t: np.ndarray, up: np.ndarray, ends: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -49,7 +55,7 @@ def _induce(t: np.ndarray, up: np.ndarray, ends: np.ndarray, seeds: np.ndarray)
     """
     n = len(t)
     out = np.full(n, -1, np.int64)
-    heads, tails = np.append(0, ends[:-1]), ends.copy()
+    heads, tails, down = np.append(0, ends[:-1]), ends.copy(), ~up
     order, rank, buckets, sizes = _ranks(t[seeds])
     placed = np.zeros(len(ends), np.int64)
     placed[buckets] = sizes
@@ -59,20 +65,21 @@ def _induce(t: np.ndarray, up: np.ndarray, ends: np.ndarray, seeds: np.ndarray)
     while at < n:
         stop = min(n, at + size)
         block = out[at:stop]
-        who = np.flatnonzero(block > 0)
+        who = (block > 0).nonzero()[0]
         before = block[who] - 1
-        larger = ~up[before]
+        larger = down[before]
         who, before = who[larger], before[larger]
         size = min(2 * size, 1 << 17)
+        c = t[before]
         if len(who):
-            low = int(heads[t[before]].min())
+            low = int(heads[c].min())
             if low < stop:
                 stop, size = low, max(64, 2 * (low - at))
-                before = before[: np.searchsorted(who, low - at)]
+                kept = who.searchsorted(low - at)
+                before, c = before[:kept], c[:kept]
         if len(before):
-            order, rank, buckets, sizes = _ranks(t[before])
-            before = before[order]
-            out[heads[t[before]] + rank] = before
+            order, rank, buckets, sizes = _ranks(c)
+            out[heads[c[order]] + rank] = before[order]
             heads[buckets] += sizes
         at = stop
     out[(out >= 0) & up[out]] = -1
@@ -81,20 +88,21 @@ def _induce(t: np.ndarray, up: np.ndarray, ends: np.ndarray, seeds: np.ndarray)
     while at > 0:
         stop = max(0, at - size)
         block = out[stop:at][::-1]
-        who = np.flatnonzero(block > 0)
+        who = (block > 0).nonzero()[0]
         before = block[who] - 1
         less = up[before]
         who, before = who[less], before[less]
         size = min(2 * size, 1 << 17)
+        c = t[before]
         if len(who):
-            high = int(tails[t[before]].max())
+            high = int(tails[c].max())
             if high > stop:
                 stop, size = high, max(64, 2 * (at - high))
-                before = before[: np.searchsorted(who, at - high)]
+                kept = who.searchsorted(at - high)
+                before, c = before[:kept], c[:kept]
         if len(before):
-            order, rank, buckets, sizes = _ranks(t[before])
-            before = before[order]
-            out[tails[t[before]] - 1 - rank] = before
+            order, rank, buckets, sizes = _ranks(c)
+            out[tails[c[order]] - 1 - rank] = before[order]
             tails[buckets] -= sizes
         at = stop
     return out
@@ -176,7 +184,7 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 
 def _anchors(part: text.Texts, length: int) -> tuple[np.ndarray, ...]:
-    """(hash, document, place in the slice, first, end) of the anchors of a slice.
+    """(hash, hash of the context, document, place in the slice, first, end) of the anchors of a slice.
 
     Every string of ``length`` bytes inside a document holds an anchor: the grams with the lowest hash in it.  Equal
     strings so have equal anchors at equal places.  first to end is what such strings around the anchor cover.
@@ -184,11 +192,12 @@ def _anchors(part: text.Texts, length: int) -> tuple[np.ndarray, ...]:
     gram = max(1, length * 5 // 8)
     width = length - gram + 1
     n = len(part.data)
-    none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.int64))
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64, np.int64))
     if n < length:
         return none
     starts = np.arange(n - gram + 1)
-    hashes = text.span_hashes(text.prefix_sums(part.data), starts, starts + gram)
+    sums = text.prefix_sums(part.data)
+    hashes = text.span_hashes(sums, starts, starts + gram)
     lowest = _sliding(hashes, width, np.minimum)
     sizes = np.diff(part.offsets)
     begin, end = np.repeat(part.offsets[:-1], sizes), np.repeat(part.offsets[1:], sizes)
@@ -197,7 +206,10 @@ def _anchors(part: text.Texts, length: int) -> tuple[np.ndarray, ...]:
     reached = _sliding(np.concatenate([rim, lowest, rim]), width, np.maximum)
     at = np.flatnonzero((reached == hashes) & (end[: len(hashes)] - begin[: len(hashes)] >= length) & (starts + gram <= end[: len(hashes)]))
     docs = np.searchsorted(part.offsets, at, "right") - 1
-    return hashes[at], docs, at, np.maximum(begin[at], at - width + 1), np.minimum(end[at], at + length)
+    first, last = np.maximum(begin[at], at - width + 1), np.minimum(end[at], at + length)
+    # the anchor's place inside belongs to the context: clipped ones differ from whole ones
+    context = text.mix(text.span_hashes(sums, first, last) + (at - first).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    return hashes[at], context, docs, at, first, last
 
 
 def _digest(data: bytes) -> int:
@@ -209,15 +221,13 @@ def anchors(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for part in text.slices(batch.column(2)):
-            keys, docs, at, first, end = _anchors(part, length)
+            keys, context, docs, _, first, end = _anchors(part, length)
             if not len(keys):
                 continue
-            raw, base = part.data.tobytes(), part.offsets[docs]
-            # the anchor's place inside belongs to the context: clipped ones differ from whole ones
-            context = [_digest(raw[a:b] + (p - a).to_bytes(4, "little")) for a, b, p in zip(first.tolist(), end.tolist(), at.tolist(), strict=True)]
+            base = part.offsets[docs]
             who = pa.array(docs + part.first)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.view(np.int64)), pa.array(context, pa.int64()), batch.column(0).take(who), batch.column(1).take(who)]
+                [pa.array(keys.view(np.int64)), pa.array(context.view(np.int64)), batch.column(0).take(who), batch.column(1).take(who)]
                 + [pa.array((x - base).astype(np.int32)) for x in (first, end)],
                 ["key", "context", "doc", "copy", "start", "end"],
             )
