@@ -24,6 +24,7 @@ SAMPLE = (
     " kpi_05_own_dates kpi_06_consolidated reg_02_regional_kpis_by_estimates per_14_sign_audit"
     " dq_03_join_integrity rec_05_missing_and_extra dgn_04_material_components nrm_13_job_cost_rows"
     " ded_06_sales dim_07_estimates_with_opportunity inc_07_late_repair sch_02_validation str_01_stream_upsert"
+    " snk_02_additive_schema nrm_13_daily_job_cost_rows_by_name dq_05_suite_samples sch_01_nested_fields"
 ).split()
 NAMES = list(entry.queries()) if os.environ.get("FIELDKPI_ALL") else SAMPLE
 
