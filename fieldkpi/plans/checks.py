@@ -641,64 +641,86 @@ def _spanned(column: str) -> str:
 
 
 _PAYMENT_SPAN = ("2024-01-01", "2024-01-20")
-_CONSOLIDATE = {
-    "c_leads": f"""SELECT business_unit, COUNT(DISTINCT customer_id) AS leads FROM leads_jobs
-        WHERE business_unit LIKE '%-Sales' AND {_spanned('lead_date')} GROUP BY 1""",
-    "c_booked": f"""SELECT business_unit, {dsum('revenue_amount')} AS total_booked FROM sold_estimates
-        WHERE business_unit LIKE '%-Sales' AND {_spanned('sold_date')} GROUP BY 1""",
-    "c_done": f"""SELECT business_unit, COUNT(*) AS estimates FROM completed_estimates_jobs
-        WHERE business_unit LIKE '%-Sales' AND {_spanned('completed_date')} GROUP BY 1""",
-    "c_prod": f"""SELECT business_unit, {rsum('revenue_subtotal')} AS dollars_produced,
-        {pct('SUM(gross_profit)', 'SUM(revenue_subtotal)')} AS gpm_pct FROM production_jobs
-        WHERE {_spanned('start_date')} GROUP BY 1""",
-    "c_paid": f"""SELECT j.business_unit, {dsum('p.amount')} AS dollars_collected FROM payments p
-        JOIN invoices i ON p.invoice_id = i.id JOIN dim_jobs j ON i.job_id = j.id
-        WHERE j.business_unit LIKE '%-Production'
-          AND CAST(p.created_on AS DATE) BETWEEN DATE '{_PAYMENT_SPAN[0]}' AND DATE '{_PAYMENT_SPAN[1]}' GROUP BY 1""",
-    "c_ar": f"""SELECT j.business_unit, {dsum('i.balance')} AS outstanding_ar FROM invoices i
-        JOIN dim_jobs j ON i.job_id = j.id WHERE i.balance >= 10 AND j.business_unit LIKE '%-Production'
-          AND CAST(i.created_on AS DATE) <= DATE '{_SPAN[1]}' GROUP BY 1""",
+_ALWAYS = dict.fromkeys(("lead_date", "sold_date", "completed_date", "start_date", "p.created_on", "i.created_on"), "")
+_IN_SPAN = {c: f"AND {_spanned(c)}" for c in ("lead_date", "sold_date", "completed_date")} | {
+    "start_date": f"WHERE {_spanned('start_date')}",
+    "p.created_on": f"AND CAST(p.created_on AS DATE) BETWEEN DATE '{_PAYMENT_SPAN[0]}' AND DATE '{_PAYMENT_SPAN[1]}'",
+    "i.created_on": f"AND CAST(i.created_on AS DATE) <= DATE '{_SPAN[1]}'",
 }
 
 
-@query(
-    "rec_03_all_kpis_by_market",
-    f"""SELECT COALESCE({', '.join(_market(f'{t}.business_unit') for t in _CONSOLIDATE)}) AS market, leads,
+def _consolidate(inside: dict[str, str]) -> dict[str, str]:
+    return {
+        "c_leads": f"""SELECT business_unit, COUNT(DISTINCT customer_id) AS leads FROM leads_jobs
+            WHERE business_unit LIKE '%-Sales' {inside['lead_date']} GROUP BY 1""",
+        "c_booked": f"""SELECT business_unit, {dsum('revenue_amount')} AS total_booked FROM sold_estimates
+            WHERE business_unit LIKE '%-Sales' {inside['sold_date']} GROUP BY 1""",
+        "c_done": f"""SELECT business_unit, COUNT(*) AS estimates FROM completed_estimates_jobs
+            WHERE business_unit LIKE '%-Sales' {inside['completed_date']} GROUP BY 1""",
+        "c_prod": f"""SELECT business_unit, {rsum('revenue_subtotal')} AS dollars_produced,
+            {pct('SUM(gross_profit)', 'SUM(revenue_subtotal)')} AS gpm_pct FROM production_jobs
+            {inside['start_date']} GROUP BY 1""",
+        "c_paid": f"""SELECT j.business_unit, {dsum('p.amount')} AS dollars_collected FROM payments p
+            JOIN invoices i ON p.invoice_id = i.id JOIN dim_jobs j ON i.job_id = j.id
+            WHERE j.business_unit LIKE '%-Production' {inside['p.created_on']} GROUP BY 1""",
+        "c_ar": f"""SELECT j.business_unit, {dsum('i.balance')} AS outstanding_ar FROM invoices i
+            JOIN dim_jobs j ON i.job_id = j.id WHERE i.balance >= 10 AND j.business_unit LIKE '%-Production'
+              {inside['i.created_on']} GROUP BY 1""",
+    }
+
+
+_BY_MARKET = f"""SELECT COALESCE({', '.join(_market(f'{t}.business_unit') for t in _consolidate(_ALWAYS))}) AS market, leads,
                total_booked, estimates, dollars_produced, gpm_pct, dollars_collected, outstanding_ar
         FROM c_leads FULL JOIN c_booked ON c_leads.business_unit = c_booked.business_unit
         FULL JOIN c_done ON COALESCE(c_leads.business_unit, c_booked.business_unit) = c_done.business_unit
         FULL JOIN c_prod ON {_market('COALESCE(c_leads.business_unit, c_booked.business_unit, c_done.business_unit)')}
              = {_market('c_prod.business_unit')}
         FULL JOIN c_paid ON c_prod.business_unit = c_paid.business_unit
-        FULL JOIN c_ar ON COALESCE(c_prod.business_unit, c_paid.business_unit) = c_ar.business_unit""",
-    **_CONSOLIDATE,
-)
-def _(d: Domain) -> DataFrame:
-    """Each branch in the window by its own date, receivables as they stood at its end; payments are of another time."""
-    paid_span = _PAYMENT_SPAN
+        FULL JOIN c_ar ON COALESCE(c_prod.business_unit, c_paid.business_unit) = c_ar.business_unit"""
+
 
-    def sales(df: DataFrame, column: str) -> DataFrame:
-        return df.where(F.col("business_unit").like("%-Sales") & F.col(column).between(*_SPAN)).groupBy("business_unit")
+def _by_market(leads: DataFrame, sold: DataFrame, completed: DataFrame, made: DataFrame, paid: DataFrame, invoices: DataFrame, jobs: DataFrame) -> DataFrame:
+    def sales(df: DataFrame) -> DataFrame:
+        return df.where(F.col("business_unit").like("%-Sales")).groupBy("business_unit")
 
-    made = production(d).where(day_range("start_date", *_SPAN)).groupBy("business_unit").agg(
+    produced = made.groupBy("business_unit").agg(
         F.round(sum_money("revenue_subtotal"), 2).cast("double").alias("dollars_produced"),
         percent(sum_money("gross_profit"), sum_money("revenue_subtotal")).alias("gpm_pct"),
     )
-    payments = d.payments().where(day_range("created_on", *paid_span))
-    paid = marts.payments_with_unit(payments, d.invoices(), d.dim_jobs()).groupBy("business_unit")
-    issued = d.invoices().where(day_range("created_on", "1900-01-01", _SPAN[1]))
     return reconcile.by_market(
         [
-            sales(leads(d), "lead_date").agg(F.countDistinct("customer_id").alias("leads")),
-            sales(sold(d), "sold_date").agg(F.sum("revenue_amount").cast("double").alias("total_booked")),
-            sales(completed(d), "completed_date").agg(F.count("*").alias("estimates")),
-            made,
-            paid.agg(sum_money("amount").cast("double").alias("dollars_collected")),
-            marts.receivables_with_floor(issued, d.dim_jobs()),
+            sales(leads).agg(F.countDistinct("customer_id").alias("leads")),
+            sales(sold).agg(F.sum("revenue_amount").cast("double").alias("total_booked")),
+            sales(completed).agg(F.count("*").alias("estimates")),
+            produced,
+            paid.groupBy("business_unit").agg(sum_money("amount").cast("double").alias("dollars_collected")),
+            marts.receivables_with_floor(invoices, jobs),
         ]
     )
 
 
+@query("rec_03_all_kpis_by_market", _BY_MARKET, **_consolidate(_ALWAYS))
+def _(d: Domain) -> DataFrame:
+    """Every branch over all its rows."""
+    paid = marts.payments_with_unit(d.payments(), d.invoices(), d.dim_jobs())
+    return _by_market(leads(d), sold(d), completed(d), production(d), paid, d.invoices(), d.dim_jobs())
+
+
+@query("rec_03_all_kpis_by_market_window", _BY_MARKET, **_consolidate(_IN_SPAN))
+def _(d: Domain) -> DataFrame:
+    """Each branch in the window by its own date, receivables as they stood at its end; payments are of another time."""
+    payments = d.payments().where(day_range("created_on", *_PAYMENT_SPAN))
+    return _by_market(
+        leads(d).where(F.col("lead_date").between(*_SPAN)),
+        sold(d).where(F.col("sold_date").between(*_SPAN)),
+        completed(d).where(F.col("completed_date").between(*_SPAN)),
+        production(d).where(day_range("start_date", *_SPAN)),
+        marts.payments_with_unit(payments, d.invoices(), d.dim_jobs()),
+        d.invoices().where(day_range("created_on", "1900-01-01", _SPAN[1])),
+        d.dim_jobs(),
+    )
+
+
 _TEN = (
     "lead_count total_booked dollars_produced gpm_percent warranty_percent dollars_collected num_estimates"
     " close_rate_percent future_bookings outstanding_ar"

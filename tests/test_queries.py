@@ -45,6 +45,14 @@ def test_query_equals_its_twin(spark, con, name):
     assert result.startswith(("ok", "rows")), result
 
 
+def test_all_kpis_by_market_take_rows_of_all_times(spark, con):
+    """The window is another query's; both have twins."""
+    names = ("rec_03_all_kpis_by_market", "rec_03_all_kpis_by_market_window")
+    assert all(check.compare(spark, con, SF, name).startswith(("ok", "rows")) for name in names)
+    whole, window = (sum(r["estimates"] or 0 for r in entry.queries()[name](spark, SF).collect()) for name in names)
+    assert whole > window > 0
+
+
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
 
