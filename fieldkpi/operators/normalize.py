@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from fieldkpi.functions.parse import (
     parse_whole,
 )
 from fieldkpi.operators.dedupe import dedupe_latest
-from fieldkpi.sources.readers import row_field
+from fieldkpi.sources.readers import named_row, row_field
 from fieldkpi.sources.schemas import ENTITIES, TYPES, Entity
 
 
@@ -94,26 +94,49 @@ def _text(row: str, position: int) -> Column:
     return F.nullif(_at(row, position), F.lit(""))
 
 
+Parse = Callable[[Column], Column]
+
+
+def _as_is(c: Column) -> Column:
+    return c
+
+
 class Cells:
     """The cells of report rows: by column name where ``columns`` names the list of names, else by position.
 
     ``filled`` takes the first name whose cell is not empty, ``given`` the first one that the row has; a row whose
-    length is not that of the list is read by position.
+    length is not that of the list is read by position.  ``parse`` makes a value of the text.  ``select`` takes columns
+    made of them.
     """
 
-    def __init__(self, row: str, columns: str | None):
-        self.row, self.columns = row, columns
+    def __init__(self, report: DataFrame, row: str, columns: str | None):
+        self.report, self.row, self.columns = report, row, columns
+        self.prefix = "_" * (max(map(len, report.columns)) + 1)
+        self.named: list[tuple[Sequence[str], int | None, bool, Parse]] = []
+
+    def _cell(self, position: int | None, names: Sequence[str], blanks: bool, parse: Parse) -> Column:
+        if self.columns is None:
+            return parse(F.lit(None).cast("string") if position is None else _at(self.row, position))
+        self.named.append((names, position, blanks, parse))
+        return F.col(f"{self.prefix}{len(self.named)}")
+
+    def select(self, *columns: Column, keep: Column | None = None) -> DataFrame:
+        """The generator keeps a row's map of names, and all that the row is made of, from being made for every cell."""
+        rows = self.report
+        if self.named:
+
+            def cells(named: Column) -> Column:
+                found = (parse(row_field(names, at, row=self.row, blanks=blanks, named=named)) for names, at, blanks, parse in self.named)
+                return F.struct(*[c.alias(f"{self.prefix}{i}") for i, c in enumerate(found, 1)])
 
-    def _cell(self, position: int | None, names: Sequence[str], blanks: bool) -> Column:
-        if self.columns is not None:
-            return row_field(names, position, self.columns, self.row, blanks=blanks)
-        return F.lit(None).cast("string") if position is None else _at(self.row, position)
+            rows = rows.select("*", F.inline(F.transform(F.array(named_row(self.columns, self.row)), cells)))
+        return (rows if keep is None else rows.where(keep)).select(*columns)
 
-    def filled(self, position: int | None, *names: str) -> Column:
-        return self._cell(position, names, False)
+    def filled(self, position: int | None, *names: str, parse: Parse = _as_is) -> Column:
+        return self._cell(position, names, False, parse)
 
-    def given(self, position: int | None, *names: str) -> Column:
-        return self._cell(position, names, True)
+    def given(self, position: int | None, *names: str, parse: Parse = _as_is) -> Column:
+        return self._cell(position, names, True, parse)
 
 
 def _full(c: Column) -> Column:
@@ -144,7 +167,7 @@ def leads_rows(
     Of several rows with one key the earliest created is kept.  Cells are found by name where ``columns`` has the
     names; the creation time stands at a fixed place.
     """
-    cells = Cells(row, columns)
+    cells = Cells(report, row, columns)
     unit_col = F.col(unit) if isinstance(unit, str) else unit
     customer = cells.filled(0, "Customer name")
     name = F.lower(F.coalesce(customer, F.lit("")))
@@ -154,7 +177,7 @@ def leads_rows(
     for token in excluded_names:
         keep = keep & ~name.contains(token.lower())
     fallback = F.lit(None).cast("timestamp_ntz") if fallback_created is None else fallback_created
-    rows = report.where(keep).select(
+    rows = cells.select(
         *_stamped(
             [
                 F.coalesce(row_unit, unit_col).alias("bu_key"),
@@ -166,7 +189,8 @@ def leads_rows(
             ],
             row,
             updated_on,
-        )
+        ),
+        keep=keep,
     )
     return dedupe_latest(rows, ["job_id", "bu_key"], [F.col("job_created_on").asc_nulls_last()])
 
@@ -175,9 +199,9 @@ def collections_rows(
     report: DataFrame, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
     """Payments; a missing unit is ``unknown``, a missing amount 0.  An empty cell under a known name stays empty."""
-    cells = Cells(row, columns)
+    cells = Cells(report, row, columns)
     unit = cells.given(7, "Invoice Business Unit", "Job Business Unit", "Business Unit")
-    return report.select(
+    return cells.select(
         *_stamped(
             [
                 F.coalesce(_full(F.trim(unit)), F.lit("unknown")).alias("bu_key"),
@@ -255,8 +279,8 @@ def daily_job_cost_rows(
     report: DataFrame, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
     """The subset that the first-generation cost table keeps, rounded; cells by name where ``columns`` has the names."""
-    job = _Job(Cells(row, columns))
-    return report.select(
+    job = _Job(Cells(report, row, columns))
+    return job.cells.select(
         *_stamped(
             [
                 job.unit.alias("bu_key"),
@@ -286,8 +310,8 @@ class _Job:
 
 
 def future_booking_rows(report: DataFrame, as_of: Column, *, row: str = "row", columns: str | None = None) -> DataFrame:
-    job = _Job(Cells(row, columns))
-    return report.select(
+    job = _Job(Cells(report, row, columns))
+    return job.cells.select(
         job.unit.alias("bu_key"),
         job.number.alias("job_id"),
         job.scheduled.alias("scheduled_date"),
@@ -317,25 +341,26 @@ def sales_rows(
 
     Cells by name where ``columns`` has the names; such rows may also carry their own day.
     """
-    cells = Cells(row, columns)
+    cells = Cells(report, row, columns)
     unit_col = F.col(unit) if isinstance(unit, str) else unit
     day = F.coalesce(F.substr(cells.filled(None, "Date", "Day", "Sold On", "Job Creation Date"), F.lit(1), F.lit(10)).try_cast("date"), event_date)
     booked = ("Closed Opportunities", "CompletedJob", "Completed")
-    closed, completed = parse_whole(cells.given(1, "Closed Opportunities", "ClosedOpportunities", *booked[1:])), parse_whole(cells.given(2, *booked))
-    total = parse_number(cells.given(5, "Total Sales", "TotalSales", "TotalRevenue", "SoldAmount", "BookedRevenue"))
+    closed = cells.given(1, "Closed Opportunities", "ClosedOpportunities", *booked[1:], parse=parse_whole)
+    completed = cells.given(2, *booked, parse=parse_whole)
+    total = cells.given(5, "Total Sales", "TotalSales", "TotalRevenue", "SoldAmount", "BookedRevenue", parse=parse_number)
     average = F.when(
         (F.coalesce(completed, F.lit(0)) > 0) & total.isNotNull(),
         F.round((total.cast("double") / completed.cast("double")).cast("decimal(38,6)"), 2),
-    ).otherwise(parse_scaled(cells.given(6, "Average Closed Sale", "AverageClosedSale"), 2))
+    ).otherwise(cells.given(6, "Average Closed Sale", "AverageClosedSale", parse=lambda c: parse_scaled(c, 2)))
     stamp = F.current_timestamp().cast("timestamp_ntz") if updated_on is None else updated_on
-    return report.select(
+    return cells.select(
         (event_date if columns is None else day).alias("event_date"),
         unit_col.alias("bu_name"),
         F.coalesce(cells.given(0, "Estimator", "Technician"), F.lit("")).alias("estimator"),
-        parse_whole(cells.given(3, "Sales Opportunities", "SalesOpportunities")).alias("sales_opportunities"),
+        cells.given(3, "Sales Opportunities", "SalesOpportunities", parse=parse_whole).alias("sales_opportunities"),
         completed.alias("completed_est"),
         closed.alias("closed_opportunities"),
-        F.round(parse_rate(cells.given(4, "Close Rate", "CloseRate")), 6).alias("close_rate"),
+        F.round(cells.given(4, "Close Rate", "CloseRate", parse=parse_rate), 6).alias("close_rate"),
         F.round(total, 2).cast("decimal(18,4)").alias("total_sales"),
         average.cast("decimal(18,4)").alias("avg_closed_sale"),
         stamp.alias("updated_on"),
@@ -346,22 +371,25 @@ def consolidated_sales_rows(
     report: DataFrame, event_date: Column, *, row: str = "row", columns: str | None = None, updated_on: Column | None = None
 ) -> DataFrame:
     """One row per unit; missing numbers are 0, the rate stays null if unreadable; cells by name where ``columns`` has them."""
-    cells = Cells(row, columns)
+    cells = Cells(report, row, columns)
 
     def whole(cell: Column) -> Column:
         return F.round(_zero(parse_number(cell)), 0).cast("bigint")
 
-    return report.select(
+    def dollars(cell: Column) -> Column:
+        return _zero(parse_scaled(cell, 2))
+
+    return cells.select(
         *_stamped(
             [
                 event_date.alias("event_date"),
                 F.coalesce(_full(cells.filled(0, "Name")), F.lit("unknown")).alias("bu_name"),
-                whole(cells.filled(1, "Sales Opportunity")).alias("sales_opportunities"),
-                whole(cells.filled(2, "Closed Opportunities")).alias("closed_opportunities"),
-                parse_rate(cells.filled(3, "Close rate")).alias("close_rate"),
-                whole(cells.filled(4, "Completed Jobs")).alias("completed_est"),
-                _zero(parse_scaled(cells.filled(5, "Total Sales"), 2)).alias("total_sales"),
-                _zero(parse_scaled(cells.filled(6, "Closed Average Sale"), 2)).alias("avg_closed_sale"),
+                cells.filled(1, "Sales Opportunity", parse=whole).alias("sales_opportunities"),
+                cells.filled(2, "Closed Opportunities", parse=whole).alias("closed_opportunities"),
+                cells.filled(3, "Close rate", parse=parse_rate).alias("close_rate"),
+                cells.filled(4, "Completed Jobs", parse=whole).alias("completed_est"),
+                cells.filled(5, "Total Sales", parse=dollars).alias("total_sales"),
+                cells.filled(6, "Closed Average Sale", parse=dollars).alias("avg_closed_sale"),
             ],
             row,
             updated_on,

@@ -41,15 +41,22 @@ def named_row(columns: str | Column = "columns", row: str | Column = "row") -> C
 
 
 def row_field(
-    names: Sequence[str], position: int | None, columns: str | Column = "columns", row: str | Column = "row", *, blanks: bool = False
+    names: Sequence[str],
+    position: int | None,
+    columns: str | Column = "columns",
+    row: str | Column = "row",
+    *,
+    blanks: bool = False,
+    named: Column | None = None,
 ) -> Column:
     """A field of a report row: by its names in turn, then by its position (from 0); empty cells count as absent.
 
     With ``blanks`` an empty cell under one of the names is the value.  Without a position only names count.  The names
-    of a row that is shorter or longer than the column list are not known; its position is.
+    of a row that is shorter or longer than the column list are not known; its position is.  ``named`` is the row's map
+    where it has been made already.
     """
     r = F.col(row) if isinstance(row, str) else row
-    named = named_row(columns, row)
+    named = named_row(columns, row) if named is None else named
     cells = [named[n] if blanks else F.nullif(named[n], F.lit("")) for n in names]
     return F.coalesce(*cells, F.lit(None).cast("string") if position is None else F.get(r, F.lit(position)))
 

@@ -174,6 +174,23 @@ def test_leads_rows(spark):
     assert str(got["3"]["job_created_on"]) == "2024-01-01 00:00:00" and got["3"]["created_date"] is None
 
 
+def test_cells_by_name_come_from_one_map_a_row(spark):
+    names = ["Created", "Job Number", "Customer name", "Job Type", "Business Unit", "A", "B", "C", "When"]
+    data = [
+        (["x", "1", "Ann", "EST", "U", "", "", "", "2025-01-01T00:00:00Z"], names),
+        (["x", "2", "A Test", "EST", "U", "", "", "", ""], names),
+        (["Bob", "", "", "EST", "", "3", "U", "", "2025-01-03T00:00:00Z"], names[:8]),
+        (["x", "4", "Cid", "EST", "V", "", "", "", ""], None),
+    ]
+    report = spark.createDataFrame(data, "row array<string>, columns array<string>").withColumn("unit", F.lit("U"))
+    out = normalize.leads_rows(report, "unit", columns="columns")
+    got = by(out, "job_id")
+    assert {k: r["customer_name"] for k, r in got.items()} == {"1": "Ann", "3": "Bob", "": "x"}
+    assert str(got["1"]["job_created_on"]) == "2025-01-01 00:00:00" and got["1"]["bu_key"] == "U"
+    for df in (out, normalize.sales_rows(report, "unit", F.lit("2025-01-01").cast("date"), columns="columns")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("map_from_arrays") == 1
+
+
 def test_collections_key_is_stable(spark):
     report = spark.createDataFrame([(["2025-01-01", "x", "(5)", "9", None, None, None, "U"],)], "row array<string>")
     first = rows(normalize.keyed_collections_rows(report))[0]
