@@ -1,8 +1,9 @@
 """Masked pseudo-likelihood: a small window network predicts every word from the words on both sides.
 
-A word is one of FORMS hashed, lower-cased forms.  The most frequent forms have a class of their own, the others share
-hashed classes.  The network gives the class from the classes around the word; within its class a form has its share of
-all words of the corpus.  So the probabilities of all forms at a place add up to 1.
+A word is one of FORMS hashed, lower-cased forms, on both sides of the prediction.  The network gives the probability of
+every form at a place from the forms around it: a softmax over how many binary digits the form's rank by frequency has,
+then one yes or no for each further digit, on the way down a tree.  All of these answers follow from the words around
+the place, and the probabilities of all forms add up to 1.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 from fieldkpi.llm import frames, text
 
 FORMS = 1 << 16
-CLASSES = 64
-OWN_CLASSES = 48
+#: Every form is a class of its own, numbered by its rank: class 0 is the most frequent form.
+CLASSES = FORMS
+#: Ranks of 0, 1, ... 16 binary digits.
+GROUPS = 17
+DIGITS = np.array([r.bit_length() for r in range(FORMS)], np.uint8)
 SIDE = 2
 WIDTH = 16
 ROUNDS = 2
@@ -28,12 +32,18 @@ STRIDE = 1
 BLOCK = 4096
 RATE = 0.2
 OFFSETS = [o for o in range(-SIDE, SIDE + 1) if o]
+#: Numbers of a vector that travel in one row.
+CHUNK = 1 << 13
 
 
 class Network(NamedTuple):
-    """Rows of ``inputs`` by offset and class (the last class stands for places outside the text)."""
+    """Rows of ``inputs`` by class (the last one stands for places outside the text), weighed by offset.
+
+    ``outputs`` and ``bias`` have a row for each group, then one for each node of the groups' trees.
+    """
 
     inputs: np.ndarray
+    gains: np.ndarray
     outputs: np.ndarray
     bias: np.ndarray
 
@@ -42,57 +52,155 @@ class Network(NamedTuple):
 
     @staticmethod
     def shaped(values: np.ndarray) -> Network:
-        a, b = len(OFFSETS) * (CLASSES + 1) * WIDTH, WIDTH * CLASSES
-        v = values.astype(np.float32)
-        return Network(v[:a].reshape(len(OFFSETS), CLASSES + 1, WIDTH).copy(), v[a : a + b].reshape(WIDTH, CLASSES).copy(), v[a + b :].copy())
+        shapes = [(CLASSES + 1, WIDTH), (len(OFFSETS), WIDTH), (GROUPS + FORMS, WIDTH), (GROUPS + FORMS,)]
+        cuts = np.cumsum([np.prod(s) for s in shapes])[:-1]
+        return Network(*[v.astype(np.float32).reshape(s) for v, s in zip(np.split(values, cuts), shapes, strict=True)])
 
 
 class Vocabulary(NamedTuple):
     classes: np.ndarray  # of each form
-    within: np.ndarray  # log share of each form in its class
+    within: np.ndarray  # log share of each form in its class: a class is one form
     shares: np.ndarray  # log share of each class
 
 
+def _leaves(group: int) -> slice:
+    return slice(1 << group >> 1, 1 << group)
+
+
 def start(vocabulary: Vocabulary, seed: int = 5) -> Network:
-    """Small seeded weights; the bias is the class's share, so an unfitted network is a word-count model."""
-    noise = text.stream(seed, len(OFFSETS) * (CLASSES + 1) * WIDTH + WIDTH * CLASSES) / 2.0**64 - 0.5
-    return Network.shaped(np.concatenate([noise * 0.4, vocabulary.shares]))
+    """Small seeded weights; the bias follows the shares, so an unfitted network is close to a word-count model."""
+    rows = CLASSES + 1 + GROUPS + FORMS
+    noise = (text.stream(seed, rows * WIDTH) / 2.0**64 - 0.5).reshape(rows, WIDTH) * 0.4
+    bias = np.zeros(GROUPS + FORMS)
+    for group in range(GROUPS):
+        below = np.exp(vocabulary.shares[_leaves(group)])
+        bias[group] = np.log(below.sum())
+        while len(below) > 1:  # nodes of a level stand together, the top one first
+            first = GROUPS + (1 << group >> 1) + len(below) // 2
+            bias[first : first + len(below) // 2] = np.log(below[1::2] / below[::2])
+            below = below[::2] + below[1::2]
+    outputs = noise[CLASSES + 1 :]
+    return Network.shaped(np.concatenate([noise[: CLASSES + 1].ravel(), np.ones(len(OFFSETS) * WIDTH), outputs.ravel(), bias]))
 
 
 def vocabulary(counts: np.ndarray) -> Vocabulary:
-    """Classes and shares; every form counts half a word more, so none has share 0."""
+    """Ranks and shares; every form counts half a word more, so none has share 0."""
     order = np.lexsort((np.arange(FORMS), -counts))
-    classes = OWN_CLASSES + np.arange(FORMS) % (CLASSES - OWN_CLASSES)
-    classes[order[:OWN_CLASSES]] = np.arange(OWN_CLASSES)
-    weight = counts + 0.5
-    sums = np.bincount(classes, weight, CLASSES)
-    return Vocabulary(classes.astype(np.int16), np.log(weight / sums[classes]), np.log(sums / sums.sum()))
+    classes = np.empty(FORMS, np.int32)
+    classes[order] = np.arange(FORMS)
+    weight = counts[order] + 0.5
+    return Vocabulary(classes, np.zeros(FORMS), np.log(weight / weight.sum()))
 
 
 def hidden(net: Network, near: np.ndarray) -> np.ndarray:
-    total = net.inputs[0][near[0]]
+    return _hidden(net, net.inputs[near])
+
+
+def _hidden(net: Network, beside: np.ndarray) -> np.ndarray:
+    total = beside[0] * net.gains[0]
     for i in range(1, len(OFFSETS)):
-        total += net.inputs[i][near[i]]
+        total += beside[i] * net.gains[i]
     return np.tanh(total)
 
 
-def log_classes(net: Network, h: np.ndarray) -> np.ndarray:
-    """Log-probabilities of all classes, one row per word."""
-    z = h @ net.outputs + net.bias
+def _groups(net: Network, h: np.ndarray) -> np.ndarray:
+    """Log-probabilities of the groups, one row per word."""
+    z = h @ net.outputs[:GROUPS].T + net.bias[:GROUPS]
     z -= z.max(1, keepdims=True)
     return z - np.log(np.exp(z).sum(1, keepdims=True))
 
 
+def _log_yes(z: np.ndarray) -> np.ndarray:
+    return np.minimum(z, 0) - np.log1p(np.exp(-np.abs(z)))
+
+
+def log_classes(net: Network, h: np.ndarray) -> np.ndarray:
+    """Log-probabilities of all classes, one row per word; for few words, fits and scores go down to their own form."""
+    groups, out = _groups(net, h), np.empty((len(h), CLASSES), np.float32)
+    z = h @ net.outputs[GROUPS:].T + net.bias[GROUPS:]
+    yes, no = _log_yes(z), _log_yes(-z)
+    for group in range(GROUPS):
+        log = groups[:, group : group + 1]
+        for level in range(group - 1):
+            at = slice((1 << group >> 1) + (1 << level), (1 << group >> 1) + (2 << level))
+            log = np.stack([log + no[:, at], log + yes[:, at]], axis=2).reshape(len(h), -1)
+        out[:, _leaves(group)] = log
+    return out
+
+
+class Ways(NamedTuple):
+    """The questions on the way to some classes, from the last to the first: whose, at which row, and the answer."""
+
+    who: np.ndarray
+    row: np.ndarray
+    yes: np.ndarray
+    asked: np.ndarray  # words with a question, and where theirs begin
+    first: np.ndarray
+
+
+def _ways(middle: np.ndarray) -> Ways:
+    digits = DIGITS[middle].astype(np.int32)
+    n = np.maximum(digits - 1, 0)
+    first = text.exclusive(n) if len(n) else n
+    who = np.repeat(np.arange(len(middle)), n)
+    rank, step = middle[who], np.arange(len(who)) - first[who]
+    row = GROUPS + (1 << digits[who] >> 1) + (rank >> step + 1)
+    asked = np.flatnonzero(n)
+    return Ways(who, row, rank >> step & 1, asked, first[asked])
+
+
+def log_of(net: Network, h: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """The log-probability of one class per word."""
+    w = _ways(middle)
+    z = np.einsum("ij,ij->i", h[w.who], net.outputs[w.row]) + net.bias[w.row]
+    out = _groups(net, h)[np.arange(len(h)), DIGITS[middle]].astype(np.float64)
+    return out + np.bincount(w.who, _log_yes(np.where(w.yes, z, -z)), len(h))
+
+
+def _by_row(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by row, where each row's entries begin in it, and the different rows."""
+    order = np.argsort(rows.astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1])) if len(rows) else np.zeros(0, np.int64)
+    return order, first, rows[first]
+
+
+def slopes(net: Network, near: np.ndarray, middle: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
+    """Of the mean negative log-probability of the middle classes: for each array the rows concerned and their slopes."""
+    n = len(middle)
+    beside = net.inputs[near]
+    h, w = _hidden(net, beside), _ways(middle)
+    p = np.exp(_groups(net, h))
+    p[np.arange(n), DIGITS[middle]] -= 1
+    p /= n
+    back = p @ net.outputs[:GROUPS]
+    rows, slope, shift = np.arange(GROUPS), p.T @ h, p.sum(0)
+    if len(w.asked):
+        nodes = net.outputs[w.row]
+        z = np.einsum("ij,ij->i", h[w.who], nodes) + net.bias[w.row]
+        off = (1 / (1 + np.exp(-z)) - w.yes).astype(np.float32) / np.float32(n)
+        nodes *= off[:, None]
+        back[w.asked] += np.add.reduceat(nodes, w.first, axis=0)
+        order, first, asked = _by_row(w.row - GROUPS)
+        off = off[order]
+        own = h[w.who[order]]
+        own *= off[:, None]
+        rows = np.append(rows, asked + GROUPS)
+        slope, shift = np.concatenate([slope, np.add.reduceat(own, first, axis=0)]), np.append(shift, np.add.reduceat(off, first))
+    back *= 1 - h * h
+    gains = np.einsum("onj,nj->oj", beside, back)
+    order, first, seen = _by_row(near.ravel())
+    moved = back[order % n]
+    moved *= net.gains[order // n]
+    return [(seen, np.add.reduceat(moved, first, axis=0)), (slice(None), gains), (rows, slope), (rows, shift)]
+
+
 def gradient(net: Network, near: np.ndarray, middle: np.ndarray) -> Network:
-    """Of the mean negative log-probability of the middle classes."""
-    h = hidden(net, near)
-    p = np.exp(log_classes(net, h))
-    p[np.arange(len(middle)), middle] -= 1
-    p /= len(middle)
-    back = (p @ net.outputs.T) * (1 - h * h)
-    cells, weight = np.arange(WIDTH), back.ravel()
-    inputs = [np.bincount((n[:, None] * WIDTH + cells).ravel(), weight, (CLASSES + 1) * WIDTH) for n in near.astype(np.int64)]
-    return Network(np.stack(inputs).reshape(net.inputs.shape).astype(np.float32), h.T @ p, p.sum(0))
+    """``slopes`` as a whole network."""
+    out = Network.shaped(np.zeros(len(net.flat())))
+    for x, (rows, slope) in zip(out, slopes(net, near, middle), strict=True):
+        x[rows] = slope
+    return out
 
 
 def _placed(tokens: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +208,7 @@ def _placed(tokens: list[np.ndarray], classes: np.ndarray) -> tuple[np.ndarray,
     sizes = np.array([len(t) for t in tokens], np.int64)
     n = int(sizes.sum())
     at = np.arange(n) + SIDE * (np.repeat(np.arange(len(tokens)), sizes) + 1)
-    out = np.full(n + SIDE * (len(tokens) + 1), CLASSES, np.int16)
+    out = np.full(n + SIDE * (len(tokens) + 1), CLASSES, np.int32)
     out[at] = classes[np.concatenate(tokens)] if n else 0
     return out, at
 
@@ -139,16 +247,27 @@ def tokens(docs: DataFrame) -> DataFrame:
 
 
 def _summed(df: DataFrame, vector: Callable[[Iterable[pa.RecordBatch]], np.ndarray], size: int) -> np.ndarray:
-    """The sum over partitions of a vector of fixed size, added up on Spark."""
+    """The sum over partitions of a vector of fixed size, added up on Spark, in chunks; those of zeros do not travel."""
+
+    def chunks(values: dict[int, np.ndarray]) -> pa.RecordBatch:
+        some = {c: v for c, v in values.items() if v.any()}
+        return pa.RecordBatch.from_arrays([pa.array(list(some), pa.int32()), pa.array([v.tobytes() for v in some.values()], pa.binary())], ["chunk", "part"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values = vector(batches)
-        at = np.flatnonzero(values)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(values[at])], ["at", "value"])
+        values = vector(batches).astype(np.float32)
+        yield chunks({i // CHUNK: values[i : i + CHUNK] for i in range(0, size, CHUNK)})
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, part in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                sums[chunk] = sums.get(chunk, 0.0) + np.frombuffer(part.as_buffer(), np.float32).astype(np.float64)
+        yield chunks(sums)
 
     out = np.zeros(size)
-    for r in df.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).collect():
-        out[r["at"]] = r["value"]
+    for r in df.mapInArrow(run, "chunk int, part binary").repartition("chunk").mapInArrow(add, "chunk int, part binary").toArrow().to_pylist():
+        part = np.frombuffer(r["part"])
+        out[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(part)] = part
     return out
 
 
@@ -183,15 +302,16 @@ def fitted(read: DataFrame, known: Vocabulary, rounds: int = ROUNDS, stride: int
                     at = at[np.argsort(text.mix(at.astype(np.uint64)))]
                     for i in range(0, len(at), BLOCK):
                         some = at[i : i + BLOCK]
-                        for w, s, g in zip(own, squares, gradient(own, _near(placed, some), placed[some]), strict=True):
-                            s += g * g
-                            w -= RATE / (turn + 1) * g / np.sqrt(s)
+                        for w, s, (rows, g) in zip(own, squares, slopes(own, _near(placed, some), placed[some]), strict=True):
+                            s[rows] += g * g
+                            w[rows] -= RATE / (turn + 1) * g / np.sqrt(s[rows])
                     seen += len(at)
-            return np.append(own.flat().astype(np.float64) * seen, seen)
+            # what moved: rows that no word of the partition touches are zeros
+            return np.append((own.flat() - net.flat()).astype(np.float64) * seen, seen)
 
         sums = _summed(read, vector, size + 1)
         if sums[-1]:
-            net = Network.shaped(sums[:-1] / sums[-1])
+            net = Network.shaped(net.flat() + sums[:-1] / sums[-1])
     return net
 
 
@@ -203,7 +323,7 @@ def scores(read: DataFrame, net: Network, known: Vocabulary) -> DataFrame:
             log = known.within[np.concatenate(held)]
             for i in range(0, len(at), BLOCK):
                 some = at[i : i + BLOCK]
-                log[i : i + BLOCK] += log_classes(net, hidden(net, _near(placed, some)))[np.arange(len(some)), placed[some]]
+                log[i : i + BLOCK] += log_of(net, hidden(net, _near(placed, some)), placed[some])
             own = np.array([len(t) for t in held])
             sizes[first : first + len(held)] = own
             sums[first : first + len(held)] = np.bincount(np.repeat(np.arange(len(held)), own), log, len(held))

@@ -78,3 +78,28 @@ def test_scores_match_a_plain_loop_and_order_counts(spark):
 def test_empty_table(spark):
     frames.importable(spark)
     assert pseudo.scored(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_words_beyond_the_frequent_ones_follow_the_words_beside_them(spark):
+    """Two words of one frequency, none of them among the most frequent, each beside a word of its own."""
+    frames.importable(spark)
+    draw, first, twin = random.Random(8), {}, None
+    for name in (f"w{i}" for i in range(500)):  # forms 16 apart, also where classes are dealt by hash
+        form = int(np.frombuffer(pseudo.tokens(spark.createDataFrame([(0, name)], "doc_id long, text string")).first().tokens, np.uint16)[0])
+        if twin := first.get(form % 16):
+            twin = (twin, name)
+            break
+        first[form % 16] = name
+    fill = [f"f{i}" for i in range(60)]
+    texts = []
+    for _ in range(1200):
+        body = [draw.choice(fill) for _ in range(300)]
+        for word, beside in zip(twin, ("left", "right"), strict=True):
+            at = draw.randrange(0, 290)
+            body[at : at + 3] = [beside, word, beside]
+        texts.append(" ".join(body))
+    tests = [f"{beside} {word} {beside}" for beside in ("left", "right") for word in twin]
+    rows = [*enumerate(texts), *((9000 + i, t) for i, t in enumerate(tests))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    a, b, c, d = [r.log_likelihood for r in pseudo.scored(docs).where("doc_id >= 9000").orderBy("doc_id").collect()]
+    assert (a - b) + (d - c) > 1
