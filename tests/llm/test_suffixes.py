@@ -65,3 +65,23 @@ def test_repeated_strings_match_brute_force(spark, rows, sizes):
 def test_empty_table(spark):
     frames.importable(spark)
     assert suffixes.digests(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_contexts_without_a_string_of_another_are_not_sorted():
+    draw, length = np.random.default_rng(6), 40
+    rim = length - suffixes._gram(length)
+    keys, pieces, wanted = [], [], []
+    for key in range(200):  # two contexts of an anchor that agree in so many bytes to its left and right
+        left, right = int(draw.integers(0, rim + 1)), int(draw.integers(0, rim + 1))
+        a = draw.integers(1, 120, rim + length).astype(np.uint8)
+        b = a.copy()
+        b[: rim - left] += 100
+        b[length + right :] += 100
+        keys += [key, key]
+        pieces += [a.tobytes(), b.tobytes()]
+        wanted += [left + right >= rim] * 2
+    keys, wanted = np.array(keys), np.array(wanted)
+    got = suffixes._shared(keys, np.ones(len(keys), np.int64), pieces, length)
+    assert got[wanted].all() and not got[~wanted].all()
+    first = suffixes._shared(keys, (np.arange(len(keys)) != 6).astype(np.int64), pieces, length)
+    assert first[6:8].all()
