@@ -18,6 +18,8 @@ HASHES = BANDS * ROWS
 PARITY = 2048
 #: 32-bit numbers of a signature: the minima, the parity bits, the set's size.
 SIGNATURE = HASHES + PARITY // 32 + 1
+#: Bytes of a brief signature: of the minima only the last byte.
+BRIEF = HASHES + PARITY // 8 + 4
 #: Signatures are compared so many hashes at a time.
 BATCH = 10
 #: A pair goes when the posterior probability that it is similar enough falls below this.
@@ -55,7 +57,7 @@ def signatures(part: text.Texts, shingled: text.Shingled) -> np.ndarray:
 
 def _signed(width: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, first, second, sigs, bands = [], [], [], [], []
+        sizes, first, second, sigs, briefs, bands = [], [], [], [], [], []
         for part in text.slices(batch.column(1)):
             n = part.last - part.first
             s = text.document_shingles(part, width)
@@ -74,11 +76,12 @@ def _signed(width: int):
             first.append(sums[0, :n].view(np.int64))
             second.append(sums[1, :n].view(np.int64))
             sigs += [row.tobytes() for row in sig]
+            briefs += [row.tobytes() for row in np.hstack([sig[:, :HASHES].astype(np.uint8), sig[:, HASHES:].copy().view(np.uint8)])]
             bands.append(band.view(np.int64))
         flat = np.concatenate(bands)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, BANDS, dtype=np.int32)), pa.array(flat.ravel()))
-        arrays = [batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(first)), pa.array(np.concatenate(second)), pa.array(sigs, pa.binary()), lists]
-        return pa.RecordBatch.from_arrays(arrays, ["id", "n", "k1", "k2", "sig", "bands"])
+        arrays = [batch.column(0), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(first)), pa.array(np.concatenate(second)), pa.array(sigs, pa.binary()), pa.array(briefs, pa.binary()), lists]
+        return pa.RecordBatch.from_arrays(arrays, ["id", "n", "k1", "k2", "sig", "brief", "bands"])
 
     return lambda batch: run(batch) if batch.num_rows else None
 
@@ -116,14 +119,23 @@ def needed(percent: int, miss: float = MISS) -> np.ndarray:
 
 def survivors(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     """Rows of two signature matrices that no batch prunes, and that do not differ in too many shingles for sure."""
-    alive, agree = np.arange(len(a)), np.zeros(len(a), np.int64)
+    return _survivors((a[:, :HASHES], a[:, HASHES:]), (b[:, :HASHES], b[:, HASHES:]), np.arange(len(a)), np.arange(len(a)), percent)
+
+
+def _survivors(one: tuple, two: tuple, p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Of the pairs of rows p and q of two (minima, parity bits and size) those that survive.
+
+    Of minima cut to their last byte no fewer agree than of whole ones, so with these no pair is lost.
+    """
+    alive, agree = np.arange(len(p)), np.zeros(len(p), np.int64)
     for k, least in enumerate(needed(percent)):
         at = slice(k * BATCH, (k + 1) * BATCH)
-        agree = agree + (a[alive, at] == b[alive, at]).sum(1)
+        agree = agree + (one[0][p[alive], at] == two[0][q[alive], at]).sum(1)
         stays = agree >= least
         alive, agree = alive[stays], agree[stays]
-    differ = np.bitwise_count(a[alive, HASHES:-1] ^ b[alive, HASHES:-1]).sum(1, dtype=np.int64)
-    total = a[alive, -1].astype(np.int64) + b[alive, -1]
+    x, y = one[1][p[alive]], two[1][q[alive]]
+    differ = np.bitwise_count(x[:, :-1] ^ y[:, :-1]).sum(1, dtype=np.int64)
+    total = x[:, -1].astype(np.int64) + y[:, -1]
     return alive[differ * (100 + percent) <= (100 - percent) * total]
 
 
@@ -131,6 +143,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, SIGNATURE)
 
 
+def _brief(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The last bytes of the minima; the parity bits and the size."""
+    rows = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BRIEF)
+    return rows[:, :HASHES], rows[:, HASHES:].copy().view(np.uint32)
+
+
 def _verified(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different ids that survive."""
     one = signed.select(F.col("id").alias("a"), F.col("sig").alias("sa"))
@@ -189,31 +207,14 @@ def _giants(members: DataFrame) -> DataFrame:
     return frames.written(per.where("kinds > 1").select("bucket", "giant", "all", (F.col("all") - F.col("most")).alias("rest")), "mixed")
 
 
-def _apart(large: DataFrame, joined: DataFrame, turn: int) -> DataFrame:
-    """Members outside the largest component of their bucket, with hubs drawn from it and from the others."""
-    members = frames.written(_labelled(large, joined), "labelled")
-    own = frames.written(members.join(_giants(members), "bucket"), "members")
-    giant = F.col("component") == F.col("giant")
-    hubs = own.groupBy("bucket").agg(*_hubs(10 * turn, giant), *_hubs(10 * turn + 1, giant), *_hubs(10 * turn + 2, ~giant))
-    return own.where(~giant).select("bucket", "id").join(frames.written(hubs, "hubs"), "bucket")
-
-
-def _blocked(members: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs (a, b) of members of a bucket that are of different components, in blocks.
-
-    ``members``: bucket, id, component.  Two members of the bucket's largest component need no comparison: each
-    block of the others is held against every block of the bucket.
-    """
-    per = _giants(members)
-    own = frames.written(members.join(per, "bucket"), "members")
-    draw = F.xxhash64(F.lit(5), "id")
+def _blocks(rows: DataFrame, n, name: str) -> DataFrame:
+    """The members (bucket, id, component, brief) of each bucket in blocks of about BLOCK; ``n``: how many the bucket has."""
+    block = F.pmod(F.xxhash64(F.lit(5), "id"), F.greatest(F.lit(1), F.floor(n / BLOCK))).alias("block")
+    return rows.groupBy("bucket", block).agg(F.collect_list(F.struct("id", "component", "brief")).alias(name)).drop("block")
 
-    def grouped(rows: DataFrame, n, suffix: str) -> DataFrame:
-        block = F.pmod(draw, F.greatest(F.lit(1), F.floor(n / BLOCK))).alias("block")
-        return rows.groupBy("bucket", block).agg(F.collect_list(F.struct("id", "component", "sig")).alias(f"m{suffix}")).drop("block")
 
-    left = frames.written(grouped(own.where("component <> giant"), F.col("rest"), "a"), "left")
-    right = frames.written(grouped(own, F.col("all"), "b"), "right")
+def _held(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that their brief signatures do not prune, of the members of a left and a right block (ma, mb) of a bucket that are of different components."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [np.zeros((0, 2), np.int64)]
@@ -221,11 +222,11 @@ def _blocked(members: DataFrame, percent: int) -> DataFrame:
             sides = []
             for c in ("ma", "mb"):
                 v = batch.column(c)[i].values
-                sides.append((v.field("id").to_numpy(), v.field("component").to_numpy(), _matrix(v.field("sig"))))
+                sides.append((v.field("id").to_numpy(), v.field("component").to_numpy(), _brief(v.field("brief"))))
             (x, cx, sx), (y, cy, sy) = sides
-            first = (sx[:, None, :BATCH] == sy[None, :, :BATCH]).sum(2) >= needed(percent)[0]
+            first = (sx[0][:, None, :BATCH] == sy[0][None, :, :BATCH]).sum(2) >= needed(percent)[0]
             p, q = np.nonzero(first & (cx[:, None] != cy[None, :]))
-            stays = survivors(sx[p], sy[q], percent)
+            stays = _survivors(sx, sy, p, q, percent)
             pair = np.column_stack([x[p[stays]], y[q[stays]]])
             found.append(np.column_stack([pair.min(1), pair.max(1)]))
         out = np.unique(np.concatenate(found), axis=0)
@@ -234,6 +235,34 @@ def _blocked(members: DataFrame, percent: int) -> DataFrame:
     return frames.per_batch(left.join(right, "bucket").select("ma", "mb"), run, "a long, b long").distinct()
 
 
+def _apart(large: DataFrame, joined: DataFrame, reps: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of the members outside the largest component of their bucket, and of hubs drawn from it and from the others.
+
+    A block meets the bucket's few hubs in one row, so no row is made for a member and a hub.  Each member is a component
+    of its own here: hubs are also held against members that are joined to them already.
+    """
+    members = frames.written(_labelled(large, joined), "labelled")
+    own = frames.written(members.join(_giants(members), "bucket"), "members")
+    giant = F.col("component") == F.col("giant")
+    hubs = own.groupBy("bucket").agg(*_hubs(10 * turn, giant), *_hubs(10 * turn + 1, giant), *_hubs(10 * turn + 2, ~giant))
+    hubs = hubs.select("bucket", F.explode(F.array(*[c for c in hubs.columns if c != "bucket"])).alias("id")).distinct()
+    signed = reps.select("id", F.col("id").alias("component"), "brief")
+    left = _blocks(own.where(~giant).select("bucket", "id", "rest").join(signed, "id"), F.col("rest"), "ma")
+    return frames.written(left, "left"), frames.written(_blocks(hubs.join(signed, "id"), F.lit(1), "mb"), "hubs")
+
+
+def _blocked(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that their brief signatures do not prune, of members of a bucket that are of different components, in blocks.
+
+    ``members``: bucket, id, component, brief.  Two members of the bucket's largest component need no comparison: each
+    block of the others is held against every block of the bucket.
+    """
+    own = frames.written(members.join(_giants(members), "bucket"), "members")
+    left = frames.written(_blocks(own.where("component <> giant"), F.col("rest"), "ma"), "left")
+    right = frames.written(_blocks(own, F.col("all"), "mb"), "right")
+    return _held(left, right, percent)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and n_links of every document.
 
@@ -249,11 +278,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows; other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
-    signed = frames.written(frames.per_batch(rows, _signed(width), "id long, n long, k1 long, k2 long, sig binary, bands array<long>"), "signed")
+    signed = frames.written(frames.per_batch(rows, _signed(width), "id long, n long, k1 long, k2 long, sig binary, brief binary, bands array<long>"), "signed")
     some = signed.where("n > 0 AND id IS NOT NULL")
     classes = frames.written(some.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep")), "classes")
-    reps = classes.select(F.col("rep").alias("id"), "n", "k1", "k2").join(some.select("id", "n", "k1", "k2", "sig", "bands"), ["id", "n", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
-    reps = frames.written(reps.select("id", "sig", "bands"), "reps")
+    reps = classes.select(F.col("rep").alias("id"), "n", "k1", "k2").join(some.select("id", "n", "k1", "k2", "sig", "brief", "bands"), ["id", "n", "k1", "k2"]).dropDuplicates(["id", "k1", "k2"])
+    reps = frames.written(reps.select("id", "sig", "brief", "bands"), "reps")
     buckets = reps.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), *_hubs(1)).where("n > 1")
     placed = frames.written(buckets.join(frames.written(shared, "shared"), "bucket"), "placed")
@@ -266,14 +295,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     large = frames.written(placed.where("n > 3").select("bucket", "id"), "large")
     for turn in range(TURNS):
-        apart = frames.written(_hub_pairs(_apart(large, joined, turn + 2)), "apart")
-        if apart.isEmpty():
+        left, hubs = _apart(large, joined, reps, turn + 2)
+        if left.isEmpty():
             break
+        apart = frames.written(_held(left, hubs, percent), "apart")
         more = frames.written(_linked(frames.written(_verified(apart, reps, percent), "alive"), sets, percent), "hub-links")
         links = frames.written(links.unionByName(more).distinct(), "links")
         joined = graphs.components(links)
-    rest = frames.written(_blocked(_labelled(large, joined).join(reps.select("id", "sig"), "id"), percent), "rest")
-    more = frames.written(_linked(rest, sets, percent), "rest-links")
+    rest = frames.written(_blocked(_labelled(large, joined).join(reps.select("id", "brief"), "id"), percent), "rest")
+    more = frames.written(_linked(frames.written(_verified(rest, reps, percent), "alive"), sets, percent), "rest-links")
     links = links.unionByName(more).distinct()
     joined = frames.written(graphs.components(links), "components")
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))

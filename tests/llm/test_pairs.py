@@ -149,3 +149,21 @@ def test_empty_tables(spark):
     assert neardup.near_duplicates(none).count() == 0
     assert passages.passages(none).count() == 0
     assert contamination.contaminated(none, benchmark).count() == 0
+
+
+def test_hubs_of_later_turns_are_held_against_blocks_not_pairs(spark, monkeypatch):
+    """Texts that share a bucket with a large group without being linked to it: only the first turn makes a row of each pair."""
+    draw = random.Random(12)
+    new = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    base = new(100)
+    texts = [" ".join([*base, *new(3)]) for _ in range(30)] + [" ".join([*base[:70], *new(30)]) for _ in range(60)]
+    joined, whole = [], neardup._verified
+
+    def counted(pairs, *rest):
+        joined.append(pairs.count())
+        return whole(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_verified", counted)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(documents(spark, list(enumerate(texts))), 3, 85).collect()}
+    assert sum(joined[1:]) < len(texts) < joined[0]
+    assert got == {i: 0 if i < 30 else i for i in range(90)}
