@@ -28,6 +28,8 @@ MISS = 1e-6
 BLOCK = 128
 #: How often members outside their bucket's largest component are held against further hubs before blocks are compared.
 TURNS = 2
+#: Blocks are compared at once where that is no more than so many pairs for each different text.
+PAIRS = 500
 _U = np.uint64
 _SEEDS, _FACTORS = text.stream(101, HASHES), text.stream(103, HASHES) | _U(1)
 
@@ -196,15 +198,23 @@ def _hub_pairs(placed: DataFrame) -> DataFrame:
     return pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
-def _labelled(placed: DataFrame, joined: DataFrame) -> DataFrame:
-    return placed.join(joined, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-
-
 def _giants(members: DataFrame) -> DataFrame:
     """(bucket, giant, all, rest) of the buckets that hold several components: the largest, all members, the others."""
     parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     per = parts.groupBy("bucket").agg(F.max_by("component", F.col("n")).alias("giant"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    return frames.written(per.where("kinds > 1").select("bucket", "giant", "all", (F.col("all") - F.col("most")).alias("rest")), "mixed")
+    return frames.written(per.where("kinds > 1").select("bucket", "giant", "all", (F.col("all") - F.col("most")).alias("rest")), "mixed", members.count())
+
+
+def _members(large: DataFrame, joined: DataFrame) -> DataFrame:
+    """(bucket, id, component, giant, all, rest) of the members of the buckets that hold several components."""
+    members = large.join(joined, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    members = frames.written(members, "labelled")
+    return frames.written(members.join(_giants(members), "bucket"), "members", members.count())
+
+
+def _pairs(members: DataFrame) -> int:
+    """How many pairs blocks of the members would compare."""
+    return members.where("component <> giant").agg(F.sum("all")).first()[0] or 0
 
 
 def _blocks(rows: DataFrame, n, name: str) -> DataFrame:
@@ -235,29 +245,27 @@ def _held(left: DataFrame, right: DataFrame, percent: int) -> DataFrame:
     return frames.per_batch(left.join(right, "bucket").select("ma", "mb"), run, "a long, b long").distinct()
 
 
-def _apart(large: DataFrame, joined: DataFrame, reps: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+def _apart(members: DataFrame, reps: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Blocks of the members outside the largest component of their bucket, and of hubs drawn from it and from the others.
 
     A block meets the bucket's few hubs in one row, so no row is made for a member and a hub.  Each member is a component
     of its own here: hubs are also held against members that are joined to them already.
     """
-    members = frames.written(_labelled(large, joined), "labelled")
-    own = frames.written(members.join(_giants(members), "bucket"), "members")
     giant = F.col("component") == F.col("giant")
-    hubs = own.groupBy("bucket").agg(*_hubs(10 * turn, giant), *_hubs(10 * turn + 1, giant), *_hubs(10 * turn + 2, ~giant))
+    hubs = members.groupBy("bucket").agg(*_hubs(10 * turn, giant), *_hubs(10 * turn + 1, giant), *_hubs(10 * turn + 2, ~giant))
     hubs = hubs.select("bucket", F.explode(F.array(*[c for c in hubs.columns if c != "bucket"])).alias("id")).distinct()
     signed = reps.select("id", F.col("id").alias("component"), "brief")
-    left = _blocks(own.where(~giant).select("bucket", "id", "rest").join(signed, "id"), F.col("rest"), "ma")
+    left = _blocks(members.where(~giant).select("bucket", "id", "rest").join(signed, "id"), F.col("rest"), "ma")
     return frames.written(left, "left"), frames.written(_blocks(hubs.join(signed, "id"), F.lit(1), "mb"), "hubs")
 
 
-def _blocked(members: DataFrame, percent: int) -> DataFrame:
+def _blocked(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that their brief signatures do not prune, of members of a bucket that are of different components, in blocks.
 
-    ``members``: bucket, id, component, brief.  Two members of the bucket's largest component need no comparison: each
-    block of the others is held against every block of the bucket.
+    Two members of the bucket's largest component need no comparison: each block of the others is held against every
+    block of the bucket.
     """
-    own = frames.written(members.join(_giants(members), "bucket"), "members")
+    own = frames.written(members.join(reps.select("id", "brief"), "id"), "briefs")
     left = frames.written(_blocks(own.where("component <> giant"), F.col("rest"), "ma"), "left")
     right = frames.written(_blocks(own, F.col("all"), "mb"), "right")
     return _held(left, right, percent)
@@ -269,9 +277,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     Words are lower-cased (A-Z); a document's set are its distinct shingles of ``width`` words (its whole
     sequence if it has fewer).  Documents are linked if 100 * intersection >= percent * union; component_id is
     the smallest doc_id reachable.  Equal sets are one class from the start.  The classes of a bucket are first
-    held against drawn hubs; then what the links so found do not already join is compared in blocks, so every
-    pair of a bucket is joined or compared.  n_links counts the confirmed links of the
-    document's class in which it was compared.
+    held against drawn hubs, and against further ones where many pairs are left; then what the links so found do not
+    already join is compared in blocks, so every pair of a bucket is joined or compared.  n_links counts the confirmed
+    links of the document's class in which it was compared.
 
     Null or empty texts have no shingles and are linked with nothing, as are rows with a null id (component
     null, kept).  Rows that share an id are one node of the graph and each keep a row.  An empty table gives no
@@ -285,27 +293,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     reps = frames.written(reps.select("id", "sig", "brief", "bands"), "reps")
     buckets = reps.select("id", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), *_hubs(1)).where("n > 1")
-    placed = frames.written(buckets.join(frames.written(shared, "shared"), "bucket"), "placed")
-    pairs = frames.written(_hub_pairs(placed), "pairs")
-    wanted = frames.written(placed.select("id").distinct(), "wanted")
+    n_reps = reps.count()
+    placed = frames.written(buckets.join(frames.written(shared, "shared", BANDS * n_reps), "bucket"), "placed", BANDS * n_reps)
+    n_placed = placed.count()
+    pairs = frames.written(_hub_pairs(placed), "pairs", 2 * n_placed)
+    wanted = frames.written(placed.select("id").distinct(), "wanted", n_placed)
     sets = frames.written(frames.per_batch(rows.join(wanted, "id", "left_semi"), _sets(width), "id long, shingles binary"), "sets")
-    alive = frames.written(_verified(pairs, reps, percent), "alive")
-    links = frames.written(_linked(alive, sets, percent), "hub-links")
-    joined = graphs.components(links)
+    alive = frames.written(_verified(pairs, reps, percent), "alive", 2 * n_placed)
+    links = frames.written(_linked(alive, sets, percent), "hub-links", 2 * n_placed)
+    joined = graphs.components(links, links.count())
 
     large = frames.written(placed.where("n > 3").select("bucket", "id"), "large")
+    members, most = _members(large, joined), PAIRS * n_reps
     for turn in range(TURNS):
-        left, hubs = _apart(large, joined, reps, turn + 2)
-        if left.isEmpty():
+        if _pairs(members) <= most:
             break
-        apart = frames.written(_held(left, hubs, percent), "apart")
+        apart = frames.written(_held(*_apart(members, reps, turn + 2), percent), "apart")
         more = frames.written(_linked(frames.written(_verified(apart, reps, percent), "alive"), sets, percent), "hub-links")
-        links = frames.written(links.unionByName(more).distinct(), "links")
-        joined = graphs.components(links)
-    rest = frames.written(_blocked(_labelled(large, joined).join(reps.select("id", "brief"), "id"), percent), "rest")
-    more = frames.written(_linked(frames.written(_verified(rest, reps, percent), "alive"), sets, percent), "rest-links")
-    links = links.unionByName(more).distinct()
-    joined = frames.written(graphs.components(links), "components")
+        links, joined = links.unionByName(more), graphs.extended(joined, more)
+        members = _members(large, joined)
+    rest = frames.written(_blocked(members, reps, percent), "rest")
+    n_rest = rest.count()
+    more = frames.written(_linked(frames.written(_verified(rest, reps, percent), "alive", n_rest), sets, percent), "rest-links", n_rest)
+    links, joined = links.unionByName(more).distinct(), graphs.extended(joined, more)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     known = classes.join(joined, classes.rep == joined.id, "left").drop("id").join(degree, F.col("rep") == degree.id, "left").drop("id")
     known = frames.written(known.select("k1", "k2", "n", F.coalesce("component", "rep").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "known")

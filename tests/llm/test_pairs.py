@@ -90,6 +90,36 @@ def test_components_of_chains_and_stars(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
 
 
+def test_further_links_follow_only_what_they_join(spark, monkeypatch):
+    """Further links inside components cost no turn; others give the components of all links."""
+    turns, lowest = [], graphs._lowest
+    monkeypatch.setattr(graphs, "_lowest", lambda *a: turns.append(1) or lowest(*a))
+    frame = lambda links: spark.createDataFrame(links, "a long, b long")
+    found = lambda df: {r.id: r.component for r in df.collect()}
+    joined = graphs.components(frame([(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 160)]))
+    turns.clear()
+    assert found(graphs.extended(joined, frame([(12, 30), (101, 159), (None, 5), (7, 7)]))) == found(joined)
+    assert not turns
+    more = graphs.extended(joined, frame([(25, 130), (3, 110), (200, 201), (None, 5)]))
+    assert found(more) == dict.fromkeys([*range(10, 41), *range(100, 160)], 3) | {201: 200}
+    assert found(graphs.components(frame([(5, 4)]))) == {5: 4}
+
+
+def test_few_pairs_are_compared_in_blocks_at_once(spark, monkeypatch):
+    """Further hubs are drawn only where blocks would compare many pairs; the components are the same."""
+    draw = random.Random(12)
+    new = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    base = new(100)
+    texts = [" ".join([*base, *new(3)]) for _ in range(30)] + [" ".join([*base[:70], *new(30)]) for _ in range(60)]
+    turns, apart = [], neardup._apart
+    monkeypatch.setattr(neardup, "_apart", lambda *a: turns.append(1) or apart(*a))
+    for most in (neardup.PAIRS, 0):
+        monkeypatch.setattr(neardup, "PAIRS", most)
+        got = {r.doc_id: r.component_id for r in neardup.near_duplicates(documents(spark, list(enumerate(texts))), 3, 85).collect()}
+        assert got == {i: 0 if i < 30 else i for i in range(90)}
+        assert bool(turns) == (most == 0)
+
+
 def test_contamination_matches_brute_force(spark, texts):
     longest = words(texts[-5][1])
     items = [(1, " ".join(longest[500:540])), (2, " ".join(longest[90:110] + ["x"] + longest[111:130])), (3, None), (4, ""), (5, "one two"), (None, texts[1][1]), (7, texts[5][1]), (7, texts[5][1])]
