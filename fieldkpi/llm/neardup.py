@@ -30,6 +30,8 @@ BLOCK = 128
 TURNS = 2
 #: Blocks are compared at once where that is no more than so many pairs for each different text.
 PAIRS = 500
+#: What a pair with its signatures, and with its sets, weighs for the tasks that compare them, in narrow rows.
+SIGNED, WITH_SETS = 16, 64
 _U = np.uint64
 _SEEDS, _FACTORS = text.stream(101, HASHES), text.stream(103, HASHES) | _U(1)
 
@@ -299,8 +301,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     pairs = frames.written(_hub_pairs(placed), "pairs", 2 * n_placed)
     wanted = frames.written(placed.select("id").distinct(), "wanted", n_placed)
     sets = frames.written(frames.per_batch(rows.join(wanted, "id", "left_semi"), _sets(width), "id long, shingles binary"), "sets")
-    alive = frames.written(_verified(pairs, reps, percent), "alive", 2 * n_placed)
-    links = frames.written(_linked(alive, sets, percent), "hub-links", 2 * n_placed)
+    alive = frames.written(_verified(pairs, reps, percent), "alive", SIGNED * pairs.count())
+    links = frames.written(_linked(alive, sets, percent), "hub-links", WITH_SETS * alive.count())
     joined = graphs.components(links, links.count())
 
     large = frames.written(placed.where("n > 3").select("bucket", "id"), "large")
@@ -313,8 +315,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         links, joined = links.unionByName(more), graphs.extended(joined, more)
         members = _members(large, joined)
     rest = frames.written(_blocked(members, reps, percent), "rest")
-    n_rest = rest.count()
-    more = frames.written(_linked(frames.written(_verified(rest, reps, percent), "alive", n_rest), sets, percent), "rest-links", n_rest)
+    alive = frames.written(_verified(rest, reps, percent), "alive", SIGNED * rest.count())
+    more = frames.written(_linked(alive, sets, percent), "rest-links", WITH_SETS * alive.count())
     links, joined = links.unionByName(more).distinct(), graphs.extended(joined, more)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n_links"))
     known = classes.join(joined, classes.rep == joined.id, "left").drop("id").join(degree, F.col("rep") == degree.id, "left").drop("id")
